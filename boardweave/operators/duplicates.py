@@ -61,20 +61,25 @@ def group_facts(current: DataFrame) -> DataFrame:
     ).filter("dup_group_size > 1")
 
 
-def enrich_postings(current: DataFrame) -> DataFrame:
-    """Current postings -> 35 consumer columns with duplicate-group flags.
+def flag_duplicates(current: DataFrame) -> DataFrame:
+    """``current`` plus group size, canonical flag and cross-board flag.
 
+    Needs dup_key, board, source_id and posted_at; other columns ride along.
     Rows without a match in ``group_facts`` are alone in their group.
     """
     facts = group_facts(current).withColumnsRenamed({"dup_key": "_key", "_salt": "_part"})
     rows = current.select("*", _salt(), _precedence().alias("_rank"))
     joined = rows.join(facts, (F.col("dup_key") == F.col("_key")) & (F.col("_salt") == F.col("_part")), "left")
-    flags = {
-        "dup_group_size": F.coalesce("dup_group_size", F.lit(1).cast("bigint")),
-        "is_canonical": F.coalesce(F.col("_rank") == F.col("_first"), F.lit(True)),
-        "is_cross_board_duplicate": F.coalesce("is_cross_board_duplicate", F.lit(False)),
-    }
-    return joined.withColumns(flags).select(*POSTING_COLUMNS)
+    return joined.select(
+        *current.columns,
+        F.coalesce("dup_group_size", F.lit(1).cast("bigint")).alias("dup_group_size"),
+        F.coalesce(F.col("_rank") == F.col("_first"), F.lit(True)).alias("is_canonical"),
+        F.coalesce("is_cross_board_duplicate", F.lit(False)).alias("is_cross_board_duplicate"))
+
+
+def enrich_postings(current: DataFrame) -> DataFrame:
+    """Current postings -> 35 consumer columns with duplicate-group flags."""
+    return flag_duplicates(current).select(*POSTING_COLUMNS)
 
 
 def cross_board_summary(postings: DataFrame) -> DataFrame:

@@ -54,20 +54,35 @@ def typed(spark, d):
     return typed_postings(facade(spark, d))
 
 
-def current(spark, d):
-    return latest_wins(typed(spark, d))
+def current(spark, d, *columns):
+    """Newest versions; only ``columns`` are typed and shuffled when named."""
+    rows = typed(spark, d)
+    if columns:
+        rows = rows.select(*dict.fromkeys(("board", "source_id", "exported_at", "updated_at", *columns)))
+    return latest_wins(rows)
 
 
 def postings(spark, d):
     return D.enrich_postings(current(spark, d))
 
 
+def flagged(spark, d, *columns):
+    """Duplicate flags next to just the posting columns a query reads."""
+    return D.flag_duplicates(current(spark, d, "dup_key", "posted_at", *columns))
+
+
+_SKILL_INPUTS = ("posting_key", "skills_json", "tags")
+_SALARY_INPUTS = ("posting_key country seniority employment_type salary_currency salary_currency_confidence "
+                  "salary_period salary_period_confidence salary_min_src salary_max_src").split()
+
+
 def skills(spark, d, carry=()):
-    return Q.enforce(skills_from(current(spark, d), carry, unique_keys=True), Q.SKILL_RULES)
+    rows = current(spark, d, *_SKILL_INPUTS, *carry)
+    return Q.enforce(skills_from(rows, carry, unique_keys=True), Q.SKILL_RULES)
 
 
 def salary_base(spark, d):
-    return P.salary_base_from(postings(spark, d), P.fx_rates(spark))
+    return P.salary_base_from(flagged(spark, d, *_SALARY_INPUTS), P.fx_rates(spark))
 
 
 def stamp(name: str) -> Column:
@@ -267,7 +282,7 @@ def _(spark, d):
     SELECT c AS canonical_rows, count(*) AS groups FROM (SELECT dup_key, sum(CASE WHEN is_canonical THEN 1 ELSE 0 END)::BIGINT AS c
       FROM postings GROUP BY 1) AS x GROUP BY 1"""))
 def _(spark, d):
-    return (postings(spark, d).groupBy("dup_key").agg(F.count_if("is_canonical").alias("canonical_rows"))
+    return (flagged(spark, d).groupBy("dup_key").agg(F.count_if("is_canonical").alias("canonical_rows"))
             .groupBy("canonical_rows").agg(F.count("*").alias("groups")))
 
 
@@ -275,7 +290,7 @@ def _(spark, d):
     SELECT dup_key, sum(CASE WHEN is_canonical THEN 1 ELSE 0 END)::BIGINT AS canonical_rows FROM postings
     GROUP BY 1 HAVING sum(CASE WHEN is_canonical THEN 1 ELSE 0 END) <> 1"""))
 def _(spark, d):
-    return D.canonical_violations(postings(spark, d))
+    return D.canonical_violations(flagged(spark, d))
 
 
 @query("cross_board_duplicates", O.over("postings", """
@@ -285,14 +300,14 @@ def _(spark, d):
       sum(CASE WHEN is_canonical THEN 0 ELSE 1 END) AS n FROM postings WHERE is_cross_board_duplicate GROUP BY 1) AS x
     GROUP BY 1, 2"""))
 def _(spark, d):
-    return plain(D.cross_board_summary(postings(spark, d)))
+    return plain(D.cross_board_summary(flagged(spark, d)))
 
 
 @query("duplicate_group_samples", O.over("postings", """
     SELECT dup_key, array_to_string(list_sort(list_distinct(list(board))), '|') AS boards,
       max(CASE WHEN is_canonical THEN title END) AS title FROM postings WHERE is_cross_board_duplicate GROUP BY 1"""))
 def _(spark, d):
-    return plain(D.group_samples(postings(spark, d)))
+    return plain(D.group_samples(flagged(spark, d, "title")))
 
 
 @query("document_copies", r"""
@@ -327,7 +342,7 @@ def _(spark, d):
     SELECT fx.currency, fx.usd_rate, count(p.salary_currency) AS postings FROM fx LEFT JOIN postings AS p
       ON p.salary_currency = fx.currency GROUP BY 1, 2"""))
 def _(spark, d):
-    used = current(spark, d).groupBy("salary_currency").agg(F.count("*").alias("n"))
+    used = current(spark, d, "salary_currency").groupBy("salary_currency").agg(F.count("*").alias("n"))
     return P.fx_rates(spark).join(used, F.col("currency") == F.col("salary_currency"), "left").select(
         "currency", "usd_rate", F.coalesce("n", F.lit(0).cast("bigint")).alias("postings"))
 
@@ -335,7 +350,7 @@ def _(spark, d):
 @query("unknown_currencies", O.over("base", """
     SELECT salary_currency, count(*) AS n FROM base WHERE usd_rate IS NULL GROUP BY 1"""))
 def _(spark, d):
-    return R.histogram(P.unknown_currencies(current(spark, d), P.fx_rates(spark)), "salary_currency")
+    return R.histogram(P.unknown_currencies(current(spark, d, "salary_currency", "salary_min_src", "salary_max_src"), P.fx_rates(spark)), "salary_currency")
 
 
 # --- reports -------------------------------------------------------------------
@@ -378,21 +393,21 @@ def _(spark, d):
     SELECT 'bronze rows' AS stage, count(*) AS n FROM bronze UNION ALL SELECT 'silver postings', count(*) FROM postings
     UNION ALL SELECT 'canonical postings', count(*) FROM postings WHERE is_canonical"""))
 def _(spark, d):
-    return R.funnel(facade(spark, d), postings(spark, d))
+    return R.funnel(facade(spark, d), flagged(spark, d))
 
 
 @query("employment_distribution", O.over("current", """
     SELECT employment_type, count(*) AS postings, round(100 * count(*) / sum(count(*)) OVER (), 1) AS pct
     FROM current GROUP BY 1"""))
 def employment_distribution(spark, d):
-    return R.distribution(current(spark, d), "employment_type")
+    return R.distribution(current(spark, d, "employment_type"), "employment_type")
 
 
 @query("seniority_sources", O.over("current", """
     SELECT seniority, seniority_source, count(*) AS postings FROM current GROUP BY 1, 2
     ORDER BY postings DESC, seniority, seniority_source LIMIT 15"""))
 def _(spark, d):
-    return R.seniority_sources(current(spark, d))
+    return R.seniority_sources(current(spark, d, "seniority", "seniority_source"))
 
 
 @query("salary_trust_matrix", O.over("facts", """
@@ -422,7 +437,7 @@ _PROFILED = ("employment_type", "seniority", "location_quality", "status", "seni
 @query("silver_profile", O.over("current", " UNION ALL ".join(
     f"SELECT '{c}' AS dimension, {c} AS value, count(*) AS n FROM current GROUP BY 2" for c in _PROFILED)))
 def _(spark, d):
-    return R.profile(current(spark, d), *_PROFILED)
+    return R.profile(current(spark, d, *_PROFILED), *_PROFILED)
 
 
 @query("clean_salary_range", O.over("facts", """
@@ -435,13 +450,13 @@ def _(spark, d):
     SELECT count(*) AS postings, count(*) FILTER (employment_type IN ('other', 'unknown')) / count(*) AS employment_tail,
       count(*) FILTER (seniority = 'unknown') / count(*) AS seniority_tail FROM current"""))
 def _(spark, d):
-    return R.conformance_tail(current(spark, d))
+    return R.conformance_tail(current(spark, d, "employment_type", "seniority"))
 
 
 @query("cross_board_only", O.over("postings", """
     SELECT posting_key, dup_key FROM postings WHERE is_cross_board_duplicate AND NOT is_canonical"""))
 def _(spark, d):
-    return postings(spark, d).filter("is_cross_board_duplicate AND NOT is_canonical").select("posting_key", "dup_key")
+    return flagged(spark, d, "posting_key").filter("is_cross_board_duplicate AND NOT is_canonical").select("posting_key", "dup_key")
 
 
 # --- quality rules ---------------------------------------------------------------
@@ -521,6 +536,7 @@ def _(spark, d):
 
 # --- marts -------------------------------------------------------------------------
 
+_WEEKLY_INPUTS = ("company_name", "is_remote", "salary_currency", "salary_period", "salary_min_src", "salary_max_src")
 _WEEK = f"strftime(date_trunc('week', posted_at), '{O.STAMP}')"
 
 
@@ -531,7 +547,7 @@ _WEEK = f"strftime(date_trunc('week', posted_at), '{O.STAMP}')"
     WHERE p.is_canonical AND p.posted_at IS NOT NULL AND date_trunc('week', posted_at) <= TIMESTAMP '{AS_OF}'
     GROUP BY 1, 2"""))
 def _(spark, d):
-    mart = M.weekly_postings(postings(spark, d), P.fx_rates(spark))
+    mart = M.weekly_postings(flagged(spark, d, *_WEEKLY_INPUTS), P.fx_rates(spark))
     return plain(Q.enforce(mart, M.weekly_rules(AS_OF)))
 
 
@@ -560,7 +576,7 @@ _TRENDS = f"""
 @query("skill_trends", O.over("skills", _TRENDS))
 def _(spark, d):
     dated = skills(spark, d, carry=("posted_at",))
-    return plain(Q.enforce(M.skill_trends(dated, current(spark, d)), M.SKILL_TREND_RULES))
+    return plain(Q.enforce(M.skill_trends(dated, current(spark, d, "posted_at")), M.SKILL_TREND_RULES))
 
 
 @query("duplication_rate", O.over("postings", f"""
@@ -578,7 +594,7 @@ def _(spark, d):
     FROM rated AS r LEFT JOIN totals AS x ON x.board = board_a AND x.week IS NOT DISTINCT FROM r.week
     LEFT JOIN totals AS y ON y.board = board_b AND y.week IS NOT DISTINCT FROM r.week"""))
 def _(spark, d):
-    return plain(M.duplication_rate(postings(spark, d)))
+    return plain(M.duplication_rate(flagged(spark, d)))
 
 
 @query("salary_coverage", O.over("facts", """
@@ -586,15 +602,21 @@ def _(spark, d):
     FROM postings AS p LEFT JOIN (SELECT posting_key AS k FROM facts) AS f ON f.k = p.posting_key
     WHERE p.is_canonical GROUP BY 1"""))
 def _(spark, d):
-    return M.salary_coverage(postings(spark, d), P.fx_rates(spark))
+    return M.salary_coverage(flagged(spark, d, *_WEEKLY_INPUTS), P.fx_rates(spark))
 
 
-@query("mart_reconciliation", O.over("postings", """
-    SELECT 'bands_ordered' AS "check", count(*) FILTER (false) AS violations FROM postings
-    UNION ALL SELECT 'share_in_unit_range', count(*) FILTER (false) FROM postings
-    UNION ALL SELECT 'weekly_sums_match', count(*) FILTER (false) FROM postings"""))
+@query("mart_reconciliation", O.over("skills", f"""
+    , weekly AS (SELECT board, {_WEEK} AS week, count(*) AS n FROM postings WHERE is_canonical GROUP BY 1, 2),
+    base2 AS (SELECT board, count(*) AS n FROM postings WHERE is_canonical GROUP BY 1),
+    trends AS ({_TRENDS}),
+    bands AS (SELECT board, country, seniority, employment_type, quantile_disc(salary_min_src, [0.25, 0.5, 0.75]) AS q
+      FROM postings WHERE is_canonical AND salary_min_src IS NOT NULL GROUP BY 1, 2, 3, 4)
+    SELECT 'bands_ordered' AS "check", count(*) AS violations FROM bands WHERE NOT (q[1] <= q[2] AND q[2] <= q[3])
+    UNION ALL SELECT 'share_in_unit_range', count(*) FROM trends WHERE NOT share BETWEEN 0 AND 1
+    UNION ALL SELECT 'weekly_sums_match', count(*) FROM base2 FULL JOIN (SELECT board, sum(n) AS n FROM weekly GROUP BY 1) AS w
+      ON base2.board = w.board WHERE base2.n IS DISTINCT FROM w.n"""))
 def _(spark, d):
-    rows, fx = postings(spark, d), P.fx_rates(spark)
+    rows, fx = flagged(spark, d, *_SALARY_INPUTS, *_WEEKLY_INPUTS), P.fx_rates(spark)
     facts = P.salary_facts_from(P.salary_base_from(rows, fx))
     trends = M.skill_trends(skills(spark, d, carry=("posted_at",)), rows)
     return M.reconciliation(rows, M.weekly_postings(rows, fx), M.salary_bands(facts), trends)
@@ -670,19 +692,19 @@ def _(spark, d):
         "doc_id", F.sha2(X.scrub_line_breaks(F.col("text")), 256).alias("scrubbed"))
 
 
-_MASKED = f"regexp_replace({{0}}, {O._quoted(L.EMAIL_PATTERN)}, '{L.EMAIL_MASK}', 'g')"
-_HIT = f"CASE WHEN regexp_matches({{0}}, {O._quoted(L.EMAIL_PATTERN)}) THEN 1 ELSE 0 END"
+_MASKED = f"regexp_replace(text, {O._quoted(L.EMAIL_PATTERN)}, '{L.EMAIL_MASK}', 'g')"
+_HIT = f"CASE WHEN regexp_matches(text, {O._quoted(L.EMAIL_PATTERN)}) THEN 1 ELSE 0 END"
 
 
 @query("redacted_documents", f"""
-    SELECT doc_id, sha256({_MASKED.format('text')}) AS masked, {_HIT.format('text')} AS emails_redacted FROM documents""")
+    SELECT doc_id, sha256({_MASKED}) AS masked, {_HIT} AS emails_redacted FROM documents""")
 def _(spark, d):
     masked = X.redact_emails(spread(table(spark, d, "documents")).select("doc_id", "text", "lang", "source"))
     return masked.select("doc_id", F.sha2("text", 256).alias("masked"), "emails_redacted")
 
 
 @query("export_manifest", f"""
-    SELECT lang AS board, source AS file, count(*) AS "rows", sum({_HIT.format('text')})::BIGINT AS emails_redacted
+    SELECT lang AS board, source AS file, count(*) AS "rows", sum({_HIT})::BIGINT AS emails_redacted
     FROM documents GROUP BY 1, 2""")
 def _(spark, d):
     docs = spread(table(spark, d, "documents")).select("text", F.col("lang").alias("board"), F.col("source").alias("file"))
@@ -736,11 +758,11 @@ def _(spark, d):
 
 @query("stride_sample_documents", """
     SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS rn,
-      greatest(1, count(*) OVER (PARTITION BY source) // 50) AS stride FROM documents) AS x
-    WHERE rn % stride = 0 AND rn < stride * 50""")
+      greatest(1, count(*) OVER (PARTITION BY source) // 7) AS stride FROM documents) AS x
+    WHERE rn % stride = 0 AND rn < stride * 7""")
 def _(spark, d):
     shared_dir(spark)
-    return E.stride_keys(table(spark, d, "documents"), "source", "doc_id", cap=50)
+    return E.stride_keys(table(spark, d, "documents"), "source", "doc_id", cap=7)
 
 
 @query("sampled_postings", O.over("bronze", f"""
@@ -748,7 +770,7 @@ def _(spark, d):
     rows_of AS (SELECT DISTINCT board, CAST(Id AS BIGINT) AS Id FROM bronze),
     strided AS (SELECT board, Id FROM (SELECT board, Id, row_number() OVER (PARTITION BY board ORDER BY Id) - 1 AS rn,
       greatest(1, count(*) OVER (PARTITION BY board) // 500) AS stride FROM rows_of) AS x
-      WHERE rn % stride = 0 AND rn < stride * 500),
+      WHERE rn % stride = 0 AND rn < stride * 70),
     kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY board_a, board_b ORDER BY url) AS rn FROM shared) AS x
       WHERE rn <= 25),
     forced AS (SELECT board_a AS board, first_a AS Id FROM kept UNION SELECT board_b, first_b FROM kept)
