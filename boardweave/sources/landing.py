@@ -36,29 +36,37 @@ def with_provenance(lines: DataFrame) -> DataFrame:
     )
 
 
+def _value(name: str, kind: str) -> Column:
+    quote = '"' if "'" in name else "'"
+    return F.try_variant_get("_json", f"$[{quote}{name}{quote}]", kind)
+
+
 def _unfit(fields: dict[str, str]):
-    arrays = [name for name, kind in fields.items() if kind != "string"]
+    """Test for entries the columns cannot hold: unknown names, and anything
+    but an array under the name of an array field."""
+    arrays = {name: kind for name, kind in fields.items() if kind != "string"}
 
     def test(key: Column, value: Column) -> Column:
-        unknown = ~key.isin(*fields)
-        if not arrays:
-            return unknown
-        return unknown | (key.isin(*arrays) & value.isNotNull()
-                          & F.from_json(value, "array<string>").isNull())
+        unfit = ~key.isin(*fields)
+        for name, kind in arrays.items():
+            unfit = unfit | ((key == name) & ~F.is_variant_null(value) & _value(name, kind).isNull())
+        return unfit
     return test
 
 
 def parse_lines(lines: DataFrame, fields: dict[str, str], stop_on_unseen: bool = False) -> DataFrame:
     """JSON text in ``value`` -> one string (or string array) column per field.
 
-    Each line is parsed once, into a map of strings. What does not fit the
-    fields stays as JSON in ``_rescued_data``, an unparsable line as a whole.
-    With ``stop_on_unseen`` an unknown field fails the job instead.
+    Each line is parsed once, into a variant, which keeps numbers exact and
+    finds a field without scanning. What does not fit the fields stays as JSON
+    in ``_rescued_data``; a line that is no JSON object stays as a whole. With
+    ``stop_on_unseen`` an unknown field fails the job instead.
     """
     others = [c for c in lines.columns if c != "value"]
     parsed = (
         lines.filter(F.trim("value") != "")
-        .select("*", F.from_json("value", "map<string,string>").alias("_m"))
+        .select("*", F.try_parse_json("value").alias("_json"))
+        .select("*", F.try_variant_get("_json", "$", "map<string,variant>").alias("_m"))
     )
     if stop_on_unseen:
         unseen = F.filter(F.map_keys("_m"), lambda k: ~k.isin(*fields))
@@ -66,13 +74,9 @@ def parse_lines(lines: DataFrame, fields: dict[str, str], stop_on_unseen: bool =
         stop = F.raise_error(F.concat(F.lit(UNSEEN), F.array_join(unseen, ", "))).cast("boolean")
         parsed = parsed.filter(F.when(fine, True).otherwise(stop))
     parsed = parsed.select("*", F.map_filter("_m", _unfit(fields)).alias("_rest"))
-
-    def field(name: str, kind: str) -> Column:
-        value = F.col("_m")[name]
-        return (value if kind == "string" else F.from_json(value, kind)).alias(name)
-
     rescued = F.when(F.col("_m").isNull(), F.col("value")).when(F.size("_rest") > 0, F.to_json("_rest"))
-    return parsed.select(*[field(n, k) for n, k in fields.items()], rescued.alias("_rescued_data"), *others)
+    return parsed.select(*[_value(n, k).alias(n) for n, k in fields.items()],
+                         rescued.alias("_rescued_data"), *others)
 
 
 def read_landing(spark: SparkSession, path: str, fields: dict[str, str] | None = None,

@@ -57,7 +57,7 @@ def test_status(spark):
 
 def test_country(spark):
     check(spark, [("de", "DE"), (" ok ", "OK"), ("Deutschland", "DE"), ("THE  Netherlands", "NL"), ("日本", "JP"),
-                  ("Atlantis", None), ("USA", "US"), ("", None), (None, None), (" US", None)], C.country_iso2)
+                  ("Atlantis", None), ("USA", "US"), ("", None), (None, None), ("\u00a0US", None)], C.country_iso2)
 
 
 @pytest.mark.parametrize("raw, city, region, country, remote, quality", [
@@ -94,8 +94,8 @@ def test_money_lookups(spark):
 
 
 def test_text(spark):
-    check(spark, [("  A \t b\n", "a b "), (None, None), (" x", " x"), ("İ", "i̇")], X.norm_text)
-    check(spark, [("a b c\r\nd", "a b c  d"), (None, None)], X.scrub_line_breaks)
+    check(spark, [("  A \t b\n", "a b "), (None, None), ("\u00a0x", "\u00a0x"), ("İ", "i̇")], X.norm_text)
+    check(spark, [("a\u2028b\u2029c\r\nd", "a b c  d"), (None, None)], X.scrub_line_breaks)
     check(spark, [(" HTTPS://x.Y/a// ", "https://x.y/a"), ("///", None), ("  ", None), (None, None)], X.normalise_url)
     check(spark, [("/l/board=1/f.ndjson", "board=1/f.ndjson")], X.path_tail)
 
