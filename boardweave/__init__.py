@@ -1,0 +1 @@
+"""Integrate overlapping record feeds into trusted tables, on Spark."""

@@ -27,8 +27,10 @@ from boardweave.plans import oracle as O
 from boardweave.plans.facade import bronze as facade
 from boardweave.plans.facade import spread, table
 from boardweave.plans.session import fresh_dir, shared_dir, tune
+from boardweave.plans.silver_run import silver_run
 from boardweave.sources import exports as E
 from boardweave.sources import landing as G
+from boardweave.sources.tables import read_published
 from boardweave.streaming import bronze as SB
 from boardweave.streaming import silver as SS
 
@@ -770,7 +772,7 @@ def _(spark, d):
     rows_of AS (SELECT DISTINCT board, CAST(Id AS BIGINT) AS Id FROM bronze),
     strided AS (SELECT board, Id FROM (SELECT board, Id, row_number() OVER (PARTITION BY board ORDER BY Id) - 1 AS rn,
       greatest(1, count(*) OVER (PARTITION BY board) // 500) AS stride FROM rows_of) AS x
-      WHERE rn % stride = 0 AND rn < stride * 70),
+      WHERE rn % stride = 0 AND rn < stride * 500),
     kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY board_a, board_b ORDER BY url) AS rn FROM shared) AS x
       WHERE rn <= 25),
     forced AS (SELECT board_a AS board, first_a AS Id FROM kept UNION SELECT board_b, first_b FROM kept)
@@ -853,3 +855,28 @@ def _(spark, d):
     stream, work = _event_stream(spark, d)
     SS.stateful_latest(stream, f"{work}/log", f"{work}/checkpoint", _EVENT_KEYS, _EVENT_ORDER)
     return SS.read_touched(spark, f"{work}/log", _EVENT_KEYS).select("user_id", "event_type", "event_id")
+
+
+@query("json_scan_as_strings", O.over("bronze", """
+    SELECT board, count(*) AS n, count(Tags) AS tagged, sum(len(Tags))::BIGINT AS tags, max(SalaryMin) AS largest_text FROM bronze
+    GROUP BY 1"""))
+def _(spark, d):
+    landing, _work = _landed(spark, d, [_BOARDS])
+    return G.read_json_strings(spark, f"{landing}/batch=b0").groupBy("board").agg(
+        F.count("*").alias("n"), F.count("Tags").alias("tagged"), F.sum(F.size("Tags")).alias("tags"),
+        F.max("SalaryMin").alias("largest_text"))
+
+
+_RUN_TABLES = {"postings_typed": "typed", "postings_current": "current", "postings": "postings",
+               "posting_skills": "skills", "salary_facts": "facts", "salary_quarantine": "quarantine",
+               "ref_fx_rates": "fx"}
+
+
+@query("silver_run", O.over("quarantine", " UNION ALL ".join(
+    f"SELECT '{name}' AS dataset, count(*) AS n FROM {cte}" for name, cte in _RUN_TABLES.items())))
+def _(spark, d):
+    out = fresh_dir(spark, "silver")
+    silver_run(facade(spark, d), out, as_of=AS_OF)
+    counts = [read_published(spark, out, name).agg(F.count("*").alias("n")).select(F.lit(name).alias("dataset"), "n")
+              for name in _RUN_TABLES]
+    return R.union_all(*counts)
