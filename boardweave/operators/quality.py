@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from boardweave.functions import lookups as L
@@ -107,12 +107,10 @@ def observed(df: DataFrame, applied: list[Rule], name: str) -> tuple[DataFrame,
     return enforce(counted, applied), seen
 
 
-def metrics_of(spark: SparkSession, run_id: str, dataset: str, applied: list[Rule],
-               counts: dict, recorded_at) -> DataFrame:
-    """One metric row per rule from observed counts."""
-    rows = [(run_id, recorded_at, dataset, rule.name, rule.policy, counts[f"passed:{rule.name}"],
+def metric_rows(run_id: str, dataset: str, applied: list[Rule], counts: dict, recorded_at) -> list[tuple]:
+    """One ``METRIC_SCHEMA`` row per rule from observed counts."""
+    return [(run_id, recorded_at, dataset, rule.name, rule.policy, counts[f"passed:{rule.name}"],
              counts["rows"] - counts[f"passed:{rule.name}"]) for rule in applied]
-    return spark.createDataFrame(rows, METRIC_SCHEMA)
 
 
 def measure(df: DataFrame, applied: list[Rule], dataset: str) -> DataFrame:

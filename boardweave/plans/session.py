@@ -13,6 +13,11 @@ from pyspark.sql import SparkSession
 JIT_METHOD_LIMIT = "8000"
 
 
+# For the session builder: a whole run generates more classes than the default
+# cache of 100 holds, and an evicted class is compiled from cold again.
+BUILDER_CONF = {"spark.sql.codegen.cache.maxEntries": "2000"}
+
+
 def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")

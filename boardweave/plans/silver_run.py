@@ -30,7 +30,7 @@ def silver_run(bronze: DataFrame, out_dir: str, run_id: str | None = None, as_of
     spark = tune(bronze.sparkSession)
     run_id = run_id or uuid.uuid4().hex
     run_dir = f"{out_dir}/run={run_id}"
-    metrics: list[DataFrame] = []
+    metrics: list[tuple] = []
 
     def table(name: str, rows: DataFrame, applied: list[Q.Rule] = ()) -> DataFrame:
         if not applied:
@@ -42,7 +42,7 @@ def silver_run(bronze: DataFrame, out_dir: str, run_id: str | None = None, as_of
             if "expectation failed" in str(failed):
                 raise Q.ExpectationFailed(f"{name}: {failed}") from failed
             raise
-        metrics.append(Q.metrics_of(spark, run_id, name, list(applied), seen.get, datetime.now(timezone.utc)))
+        metrics.extend(Q.metric_rows(run_id, name, list(applied), seen.get, datetime.now(timezone.utc)))
         return written
 
     fx = table("ref_fx_rates", S.declared(fx_rates(spark), S.REF_FX_RATES, "reference"), Q.FX_RULES)
@@ -63,9 +63,6 @@ def silver_run(bronze: DataFrame, out_dir: str, run_id: str | None = None, as_of
         table("skill_trends", M.skill_trends(dated, postings), M.SKILL_TREND_RULES)
         table("duplication_rate", M.duplication_rate(postings))
 
-    log = metrics[0]
-    for more in metrics[1:]:
-        log = log.union(more)
-    S.write_table(log.coalesce(1), run_dir, "quality_metrics")
+    S.write_table(spark.createDataFrame(metrics, Q.METRIC_SCHEMA).coalesce(1), run_dir, "quality_metrics")
     S.publish(spark, out_dir, run_id)
     return run_id

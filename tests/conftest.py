@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from boardweave.plans.session import tune  # noqa: E402
+from boardweave.plans.session import BUILDER_CONF, tune  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config(map=BUILDER_CONF)
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
