@@ -36,6 +36,7 @@ def version_history(df: DataFrame, keys: tuple[str, ...] = KEYS,
     The first sequence column dates a version; several versions of one date
     count as the last of them. A version equal to its predecessor in all but
     the key, the sequence and the ``ignore`` columns opens no new interval.
+    Keys and date must not be NULL, which the identity rule guarantees.
 
     A key may have any number of versions, so neighbours are found inside
     (key, hour) slices; a second window sees only one row per slice.

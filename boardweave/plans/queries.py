@@ -26,7 +26,7 @@ from boardweave.operators.typed import INPUT_CONTRACT, ensure_columns, typed_pos
 from boardweave.plans import oracle as O
 from boardweave.plans.facade import bronze as facade
 from boardweave.plans.facade import spread, table
-from boardweave.plans.session import fresh_dir, shared_dir, tune
+from boardweave.plans.session import fresh_dir, tune
 from boardweave.plans.silver_run import silver_run
 from boardweave.sources import exports as E
 from boardweave.sources import landing as G
@@ -763,7 +763,6 @@ def _(spark, d):
       greatest(1, count(*) OVER (PARTITION BY source) // 7) AS stride FROM documents) AS x
     WHERE rn % stride = 0 AND rn < stride * 7""")
 def _(spark, d):
-    shared_dir(spark)
     return E.stride_keys(table(spark, d, "documents"), "source", "doc_id", cap=7)
 
 
@@ -779,7 +778,6 @@ def _(spark, d):
     SELECT board, Id, 'stride' AS chosen_by FROM strided UNION ALL
     SELECT board, Id, 'shared_url' FROM forced WHERE (board, Id) NOT IN (SELECT (board, Id) FROM strided)"""))
 def _(spark, d):
-    shared_dir(spark)
     rows = _linked(spark, d).distinct()
     return E.cut_sample(rows, E.all_pairs(_BOARDS)).select("board", "Id", "chosen_by")
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardweave.functions.text import has_email, scrub_line_breaks
+from boardweave.plans.session import shared_dir
 
 # fields a posting export may never hold (fixed names)
 BANNED_FIELDS = frozenset(
@@ -107,6 +108,7 @@ def exact_rank(df: DataFrame, group: str, order: str) -> DataFrame:
     adding the rows of earlier partitions gives the rank. The numbering is
     checkpointed, because a recomputed range partitioning may cut elsewhere.
     """
+    shared_dir(df.sparkSession)
     numbered = (
         df.select(group, order).orderBy(group, order)
         .select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_at"))

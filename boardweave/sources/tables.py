@@ -84,7 +84,7 @@ REF_FX_RATES = [
 def struct_of(columns: list[tuple[str, str, str]], quality: str = "silver") -> T.StructType:
     """Schema with the comment and quality tag of each column as metadata."""
     return T.StructType([
-        T.StructField(name, T._parse_datatype_string(kind), True, {"comment": comment, "quality": quality})
+        T.StructField(name, T.DataType.fromDDL(kind), True, {"comment": comment, "quality": quality})
         for name, kind, comment in columns])
 
 
