@@ -131,7 +131,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int, file
 
 
 def _opened(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("content")
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).where("length > 0").select("content")
 
 
 def read_documents(spark: SparkSession, folder: str, wanted: list[int]) -> DataFrame:

@@ -83,8 +83,8 @@ _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'
 ORACLE: dict[str, str] = {
     "op8_repeated_words": rf"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-        at AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13),
-        win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM at),
+        spot AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13),
+        win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM spot),
         least AS (SELECT s, min(doc_id) AS first FROM win GROUP BY s HAVING count(*) > 1),
         hit AS (SELECT win.doc_id, win.i FROM win JOIN least USING (s) WHERE win.doc_id > first),
         gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 13)))) AS g FROM hit GROUP BY doc_id),

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from boardweave.llm.batches import (
     SLICE_BYTES, Words, id_of, joined_hashes, mixed, order_id, slices, starts_within, window_hashes,
-    word_hashes, words_of)
+    word_hashes, words_of, written)
 
 LENGTH = 13
 _OCCURRENCE = "h long, tag long, id long, spot long"
@@ -290,3 +290,46 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return F.length("text").cast(kind).alias(name) if name == "n_chars" else F.col("row").getField(name).alias(name)
 
     return rows.select(*map(column, docs.columns))
+
+
+def longest_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(doc_id, length): the longest of the doubled lengths at which a window of the document stands in another too.
+
+    Windows that repeat at ``length`` are extended to twice that length, and so
+    on until no candidate survives; each level is a written table of places. A
+    document without a window that repeats has no row.
+    """
+    base = _base(docs)
+    reached, places, n = None, None, length
+    while True:
+        occurrences = base.withColumn("places", F.lit(None).cast("array<int>")) if places is None else base.join(places, "id")
+        found = written(_level(occurrences.mapInArrow(_windows(n), _OCCURRENCE), False), "repeats")
+        found = found.select("id", F.explode(F.expr("sequence(spot, spot + n - 1)")).alias("spot"))
+        level = found.select("id", F.lit(n).alias("length")).distinct()
+        if level.isEmpty():
+            break
+        reached = level if reached is None else reached.unionByName(level)
+        places, n = found.groupBy("id").agg(F.collect_set(F.col("spot").cast("int")).alias("places")), 2 * n
+    if reached is None:
+        return level.select(id_of().alias("doc_id"), "length")
+    return reached.groupBy("id").agg(F.max("length").alias("length")).select(id_of().alias("doc_id"), "length")
+
+
+def _windows(size: int):
+    """Windows of ``size`` words whose two halves both survived the level before, or all at the first level."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches):
+            words = words_of(piece.column("text"))
+            at = np.flatnonzero(starts_within(words.first, size))
+            lists = piece.column("places")
+            if lists.null_count < len(lists):
+                alive = np.zeros(int(words.first[-1]) + size, bool)
+                spots = lists.flatten().to_numpy(zero_copy_only=False) + np.repeat(words.first[:-1], np.diff(lists.offsets.to_numpy()))
+                alive[spots[spots < len(alive)]] = True
+                at = at[alive[at] & alive[at + size // 2]]
+            h = window_hashes(word_hashes(words), size)[at].view(np.int64)
+            doc = np.searchsorted(words.first, at, "right") - 1
+            yield from _send(h, np.zeros(len(at), np.int64), piece.column("id").to_numpy(zero_copy_only=False)[doc], at - words.first[doc], False)
+
+    return run

@@ -132,7 +132,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, segment_by
 
 
 class RecordStream:
-    """Cuts one archive's byte stream, given in pieces, into records."""
+    """Cuts one archive's byte stream, given in pieces that an END each followed, into records."""
 
     def __init__(self) -> None:
         self.parts: list[bytes] = []
@@ -140,27 +140,33 @@ class RecordStream:
         self.headers: dict[str, str] | None = None
 
     def feed(self, piece: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-        """``piece`` is what stands before an END; the END itself belongs to the block if more of it is due."""
-        if self.headers is None:
-            if not piece.strip():
+        self.parts += [piece, END]
+        self.have += len(piece) + len(END)
+        while True:
+            if self.headers is None:
+                head, end, rest = b"".join(self.parts).partition(END)
+                if not end:
+                    return
+                if not head.strip(END):  # what the reader leaves at a file's end, where no END follows
+                    self._hold(rest)
+                    continue
+                lines = head.decode("utf-8", "replace").split("\r\n")
+                if not lines[0].startswith("WARC/"):
+                    raise ValueError("no record begins here")
+                self.headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+                self.need = int(self.headers.get("content-length", "0"))
+                self._hold(rest)
+            if self.have < self.need + len(END):
                 return
-            lines = piece.decode("utf-8", "replace").lstrip("\r\n").split("\r\n")
-            if not lines[0].startswith("WARC/"):
-                raise ValueError("no record begins here")
-            self.headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
-            self.need, self.parts, self.have = int(self.headers.get("content-length", "0")), [], 0
-            return
-        self.parts.append(piece)
-        self.have += len(piece)
-        if self.have < self.need:
-            self.parts.append(END)
-            self.have += len(END)
-            return
-        block = b"".join(self.parts)
-        if len(block) != self.need:
-            raise ValueError("a record is longer than its length says")
-        headers, self.headers = self.headers, None
-        yield headers, block
+            data = b"".join(self.parts)
+            if not data.startswith(END, self.need):
+                raise ValueError("a record is longer than its length says")
+            headers, self.headers = self.headers, None
+            self._hold(data[self.need + len(END) :])
+            yield headers, data[: self.need]
+
+    def _hold(self, rest: bytes) -> None:
+        self.parts, self.have = [rest], len(rest)
 
 
 def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
