@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from boardweave.llm.batches import id_of, mixed, order_id, slices, starts_within, window_hashes, word_hashes, words_of
 
 SHINGLE, BINS, BITS = 5, 512, 4
+RANGES = 8  # for each task, so that tasks differ little in size
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -128,9 +129,10 @@ def neighbour_report(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(order_id().alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    count = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    count = RANGES * tasks
     edges = rows.select("id").agg(F.percentile_approx("id", [i / count for i in range(1, count)] or [0.5], 10 * count)).first()[0]
-    edges = sorted(set(edges or []))  # as many as there are partitions, whatever the input
+    edges = sorted(set(edges or []))  # a number that partitions set, whatever the input
 
     def dealt(order):
         return F.size(F.filter(F.lit(edges).cast("array<long>"), lambda e: e < order)) if edges else F.lit(0)
@@ -143,6 +145,6 @@ def neighbour_report(docs: DataFrame) -> DataFrame:
     place = F.create_map(*[F.lit(x) for pair in heads.items() for x in pair]) if heads else F.lit(None)
     guests = guests.select("id", "text", (place[F.col("id")] if heads else F.lit(0)).alias("range"), F.lit(True).alias("guest"))
     both = rows.select("id", "text", "range", F.lit(False).alias("guest")).unionByName(guests)
-    done = both.repartition(count, "range").sortWithinPartitions("range", "guest", "id", "text").mapInArrow(
+    done = both.repartition(tasks, "range").sortWithinPartitions("range", "guest", "id", "text").mapInArrow(
         _compared, "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
     return done.select(id_of().alias("doc_id"), *[c for c in done.columns if c != "id"])
