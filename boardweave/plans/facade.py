@@ -98,15 +98,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core on an input with fewer splits than cores.
+    """As many partitions as the session's ``boardweave.spread`` says, if it is set.
 
-    Typing is CPU-bound, so one small file would otherwise keep one core busy.
-    Inputs that already fill the cluster pass through without a shuffle.
+    Typing is CPU-bound, so one small file would keep one core busy; the bench
+    sets it, nothing else does.
     """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    parts = df.sparkSession.conf.get("boardweave.spread", None)
+    return df.repartition(int(parts)) if parts and not df.isStreaming else df
 
 
 def bronze_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:

@@ -18,3 +18,8 @@ def exists(spark: SparkSession, path: str) -> bool:
 def remove(spark: SparkSession, path: str) -> bool:
     fs, target = _resolve(spark, path)
     return fs.delete(target, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, target = _resolve(spark, path)
+    fs.create(target, True).close()

@@ -18,6 +18,10 @@ BRONZE_FIELDS = {
 }
 PROVENANCE = ("_source_file", "_source_file_modified", "_ingested_at")
 UNSEEN = "fields not in the recorded schema: "
+# A number of the JSON grammar where a value may stand. What comes before it since the last match is strings as a
+# whole and signs that begin no number, so nothing inside a string is taken for one. A malformed number stops the search.
+_NUMBERS = r'\G((?:[^"\-0-9]|"(?:[^"\\]|\\.)*+")*+)(-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?)(?=\s*+[,}\]])'
+_MARK = "\ufdd0"  # a code point that no text may use: it tells numbers kept as strings from strings
 
 
 # --- reading --------------------------------------------------------------------
@@ -41,6 +45,14 @@ def _value(name: str, kind: str) -> Column:
     return F.try_variant_get("_json", f"$[{quote}{name}{quote}]", kind)
 
 
+def _text(name: str, kind: str) -> Column:
+    """A field as text: numbers as they are written."""
+    value = _value(name, kind)
+    if kind == "string":
+        return F.ltrim(value, F.lit(_MARK))
+    return F.transform(value, lambda item: F.ltrim(item, F.lit(_MARK))) if kind == "array<string>" else value
+
+
 def _unfit(fields: dict[str, str]):
     """Test for entries the columns cannot hold: unknown names, and anything
     but an array under the name of an array field."""
@@ -57,15 +69,18 @@ def _unfit(fields: dict[str, str]):
 def parse_lines(lines: DataFrame, fields: dict[str, str], stop_on_unseen: bool = False) -> DataFrame:
     """JSON text in ``value`` -> one string (or string array) column per field.
 
-    Each line is parsed once, into a variant, which keeps numbers exact and
-    finds a field without scanning. What does not fit the fields stays as JSON
-    in ``_rescued_data``; a line that is no JSON object stays as a whole. With
-    ``stop_on_unseen`` an unknown field fails the job instead.
+    Numbers are kept as they are written: they become marked strings before the
+    line is parsed, into a variant, which finds a field without scanning. What
+    does not fit the fields stays as JSON in ``_rescued_data``; a line that is no
+    JSON object stays as a whole, and so does one that repeats a name, whose
+    columns have the last value. With ``stop_on_unseen`` an unknown field fails
+    the job instead.
     """
+    lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     others = [c for c in lines.columns if c != "value"]
     parsed = (
         lines.filter(F.trim("value") != "")
-        .select("*", F.try_parse_json("value").alias("_json"))
+        .select("*", F.try_parse_json(F.regexp_replace("value", _NUMBERS, f'$1"{_MARK}$2"')).alias("_json"))
         .select("*", F.try_variant_get("_json", "$", "map<string,variant>").alias("_m"))
     )
     if stop_on_unseen:
@@ -74,8 +89,10 @@ def parse_lines(lines: DataFrame, fields: dict[str, str], stop_on_unseen: bool =
         stop = F.raise_error(F.concat(F.lit(UNSEEN), F.array_join(unseen, ", "))).cast("boolean")
         parsed = parsed.filter(F.when(fine, True).otherwise(stop))
     parsed = parsed.select("*", F.map_filter("_m", _unfit(fields)).alias("_rest"))
-    rescued = F.when(F.col("_m").isNull(), F.col("value")).when(F.size("_rest") > 0, F.to_json("_rest"))
-    return parsed.select(*[_value(n, k).alias(n) for n, k in fields.items()],
+    repeats = F.size(F.json_object_keys("value")) > F.size("_m")
+    rest = F.regexp_replace(F.to_json("_rest"), f'"{_MARK}([^"]*)"', "$1")
+    rescued = F.when(F.col("_m").isNull() | repeats, F.col("value")).when(F.size("_rest") > 0, rest)
+    return parsed.select(*[_text(n, k).alias(n) for n, k in fields.items()],
                          rescued.alias("_rescued_data"), *others)
 
 
@@ -86,9 +103,10 @@ def read_landing(spark: SparkSession, path: str, fields: dict[str, str] | None =
     return parse_lines(with_provenance(lines), fields or BRONZE_FIELDS)
 
 
-def read_json_strings(spark: SparkSession, path: str) -> DataFrame:
-    """Plain JSON scan: every primitive a string, arrays kept."""
-    return spark.read.option("primitivesAsString", "true").json(path)
+def read_json_strings(spark: SparkSession, path: str, fields: dict[str, str] | None = None) -> DataFrame:
+    """Plain JSON scan of the given fields: every primitive a string as it is written, arrays kept."""
+    ddl = ", ".join(f"`{name}` {kind}" for name, kind in (fields or BRONZE_FIELDS).items())
+    return spark.read.schema(ddl).json(path)
 
 
 # --- schema history -----------------------------------------------------------------
@@ -124,14 +142,22 @@ def unseen_fields(spark: SparkSession, path: str, glob: str, known: dict[str, st
 
 def land(records: DataFrame, landing: str, batch: str, boards: list[str]) -> list[str]:
     """Write records of ``boards`` as JSON lines under new names; boards that
-    already landed in this batch are skipped. Returns the boards written."""
+    already landed in this batch are skipped. Returns the boards written.
+
+    A marker written after the job tells a landed feed from one whose job
+    died: what such a job left is removed and written anew.
+    """
     spark = records.sparkSession
     target = f"{landing}/batch={batch}"
-    todo = [b for b in boards if not files.exists(spark, f"{target}/feed={b}")]
+    todo = [b for b in boards if not files.exists(spark, f"{target}/_landed/{b}")]
+    for board in todo:
+        files.remove(spark, f"{target}/feed={board}")
     if todo:
         (records.filter(F.col("board").isin(*todo))
          .select(F.to_json(F.struct("*")).alias("value"), F.col("board").alias("feed"))
          .write.mode("append").partitionBy("feed").text(target))
+    for board in todo:
+        files.touch(spark, f"{target}/_landed/{board}")
     return todo
 
 

@@ -19,30 +19,43 @@ class UnseenFields(RuntimeError):
         self.fields = fields
 
 
-def rows_ingested(query: StreamingQuery) -> int:
-    return sum(p["numInputRows"] for p in query.recentProgress)
+def finished(query: StreamingQuery) -> list[dict]:
+    """Wait for the end and return the progress of every micro-batch.
+
+    Spark keeps the newest progresses only, so they are gathered while the
+    query runs; ``drain`` has it keep more than pass between two looks.
+    """
+    seen: dict[int, dict] = {}
+    running = True
+    while running:
+        running = not query.awaitTermination(1)
+        seen.update((p["batchId"], p) for p in query.recentProgress)
+    return [seen[k] for k in sorted(seen)]
+
+
+def rows_ingested(progress: list[dict]) -> int:
+    return sum(p["numInputRows"] for p in progress)
 
 
-def drain(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def drain(stream: DataFrame, path: str, checkpoint: str) -> list[dict]:
     """Append everything new to a parquet table, then stop. The checkpoint and
     the sink's own log make a repeated or crashed run harmless."""
-    query = (
+    stream.sparkSession.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1000")
+    return finished(
         stream.writeStream.format("parquet").outputMode("append")
         .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return query
+        .trigger(availableNow=True).start())
 
 
 def bronze_stream(spark: SparkSession, landing: str, fields: dict[str, str], glob: str = "*.ndjson",
-                  stop_on_unseen: bool = True) -> DataFrame:
-    lines = spark.readStream.options(**land.text_options(glob)).text(landing)
+                  stop_on_unseen: bool = True, limits: dict[str, str] | None = None) -> DataFrame:
+    """``limits`` bounds a micro-batch, e.g. maxFilesPerTrigger or maxBytesPerTrigger."""
+    lines = spark.readStream.options(**land.text_options(glob), **(limits or {})).text(landing)
     return land.parse_lines(land.with_provenance(lines), fields, stop_on_unseen)
 
 
 def ingest(spark: SparkSession, landing: str, bronze_dir: str, checkpoint: str, schema_dir: str,
-           glob: str = "*.ndjson", evolve: bool = True) -> int:
+           glob: str = "*.ndjson", evolve: bool = True, limits: dict[str, str] | None = None) -> int:
     """Drain new files into bronze and return the number of rows read.
 
     With ``evolve`` a field outside the recorded schema stops the run once:
@@ -55,7 +68,7 @@ def ingest(spark: SparkSession, landing: str, bronze_dir: str, checkpoint: str,
         land.record_fields(spark, schema_dir, fields)
     try:
         return rows_ingested(drain(
-            bronze_stream(spark, landing, fields, glob, stop_on_unseen=evolve), bronze_dir, checkpoint))
+            bronze_stream(spark, landing, fields, glob, evolve, limits), bronze_dir, checkpoint))
     except StreamingQueryException as stopped:
         if land.UNSEEN not in str(stopped):
             raise

@@ -22,10 +22,10 @@ def observed_stream(df: DataFrame, applied: list[Rule], name: str) -> DataFrame:
     return enforce(df.observe(name, F.count("*").alias("rows"), *counts), applied)
 
 
-def observed_totals(query, name: str) -> dict[str, int]:
+def observed_totals(progresses: list, name: str) -> dict[str, int]:
     """Counts of an observed stream, summed over its micro-batches."""
     totals: dict[str, int] = {}
-    for progress in query.recentProgress:
+    for progress in progresses:
         metrics = progress["observedMetrics"].get(name)
         for key, value in (metrics.asDict() if metrics else {}).items():
             totals[key] = totals.get(key, 0) + value

@@ -137,3 +137,36 @@ def test_full_refresh_and_compaction(spark, bronze_of, tmp_path):
     SS.compact_log(spark, log, str(tmp_path / "log3"))
     for other in ("log2", "log3"):
         assert SS.read_current(spark, str(tmp_path / other)).exceptAll(SS.read_current(spark, log)).count() == 0
+
+
+ODD_LINES = ['{"Id":1.50,"Title":"a: 2.50, b"}', '{"Id":1e3}', '{"Id":123456789012345678901234567890123456789012,"x":[1.0,{"y":-0.10}]}',
+             '{"Id":"5","Id":"6"}', '{"Id":', '{"Id":01}', '{"Title":"one line","Tags":[1.0,"two",null]}', '{"Id":"\\"7\\" 8.0,"}']
+
+
+def test_bronze_keeps_the_text_of_numbers(spark, tmp_path):
+    fields = {"Id": "string", "Title": "string", "Tags": "array<string>"}
+    lines = spark.createDataFrame([(x,) for x in ODD_LINES], "value string")
+    rows = [tuple(r) for r in G.parse_lines(lines, fields).collect()]
+    assert rows == [
+        ("1.50", "a: 2.50, b", None, None), ("1e3", None, None, None),
+        ("123456789012345678901234567890123456789012", None, None, '{"x":[1.0,{"y":-0.10}]}'),
+        ("6", None, None, '{"Id":"5","Id":"6"}'), (None, None, None, '{"Id":'), (None, None, None, '{"Id":01}'),
+        (None, "one line", ["1.0", "two", None], None), ('"7" 8.0,', None, None, None)]
+    lines.limit(3).coalesce(1).write.text(str(tmp_path / "plain"))
+    assert [r.Id for r in G.read_json_strings(spark, str(tmp_path / "plain"), fields).collect()] == [r[0] for r in rows[:3]]
+
+
+def test_counts_survive_many_batches(spark, area):
+    for n in range(105):
+        area.put(f"{n}.ndjson", {"Id": "1"}, {"Id": "2"})
+    lines = spark.readStream.option("maxFilesPerTrigger", 1).text(area.landing).coalesce(1)
+    assert SB.rows_ingested(SB.drain(lines, *area.paths[:2])) == 210
+
+
+def test_a_feed_left_half_written_lands_again(spark, area):
+    records = bronze(spark, "/root/testdata/sf0.001")
+    G.land(records, area.landing, "x", ["board_0"])
+    whole = G.read_landing(spark, area.landing, glob="*.txt").count()
+    G.files.remove(spark, f"{area.landing}/batch=x/_landed/board_0")
+    assert G.land(records, area.landing, "x", ["board_0"]) == ["board_0"]
+    assert G.read_landing(spark, area.landing, glob="*.txt").count() == whole
