@@ -27,7 +27,7 @@ from boardweave.plans import oracle as O
 from boardweave.plans.facade import bronze as facade
 from boardweave.plans.facade import spread, table
 from boardweave.plans.session import fresh_dir, tune
-from boardweave.plans.silver_run import silver_run
+from boardweave.plans.silver_run import silver_run, silver_run_incremental
 from boardweave.sources import exports as E
 from boardweave.sources import landing as G
 from boardweave.sources.tables import read_published
@@ -878,3 +878,14 @@ def _(spark, d):
     counts = [read_published(spark, out, name).agg(F.count("*").alias("n")).select(F.lit(name).alias("dataset"), "n")
               for name in _RUN_TABLES]
     return R.union_all(*counts)
+
+
+@query("silver_run_incremental", O.over("postings", O.POSTINGS_SELECT + "postings"))
+def _(spark, d):
+    """Boards that arrive in two rounds, each typed once, give the postings of a run over all of them."""
+    work = fresh_dir(spark, "incremental")
+    rows = facade(spark, d)
+    for arrived in (_BOARDS[:4], _BOARDS[4:]):
+        rows.where(F.col("board").isin(*arrived)).write.mode("append").parquet(f"{work}/bronze")
+        silver_run_incremental(spark, f"{work}/bronze", f"{work}/state", f"{work}/out", as_of=AS_OF, with_marts=False)
+    return plain(read_published(spark, f"{work}/out", "postings"))

@@ -11,9 +11,13 @@ from boardweave.operators.typed import typed_postings
 from boardweave.streaming.bronze import drain
 
 
-def table_stream(spark: SparkSession, path: str) -> DataFrame:
-    """An append-only parquet table as a stream."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+def table_stream(spark: SparkSession, path: str, limits: dict[str, str] | None = None) -> DataFrame:
+    """An append-only parquet table as a stream, with the columns of all its files.
+
+    ``limits`` bounds a micro-batch, e.g. maxFilesPerTrigger.
+    """
+    schema = spark.read.option("mergeSchema", "true").parquet(path).schema
+    return spark.readStream.schema(schema).options(**(limits or {})).parquet(path)
 
 
 def observed_stream(df: DataFrame, applied: list[Rule], name: str) -> DataFrame:
@@ -33,10 +37,11 @@ def observed_totals(progresses: list, name: str) -> dict[str, int]:
 
 
 def stream_typed(bronze: DataFrame, typed_dir: str, checkpoint: str,
-                 applied: list[Rule] = TYPED_RULES) -> dict[str, int]:
+                 applied: list[Rule] = TYPED_RULES, state_policy: str = "passthrough",
+                 min_evidence: bool = False) -> dict[str, int]:
     """Type new bronze rows and append them. A violated fail rule stops the
     micro-batch before the sink commits any of its rows."""
-    typed = observed_stream(typed_postings(bronze), applied, "typed_postings")
+    typed = observed_stream(typed_postings(bronze, state_policy, min_evidence), applied, "typed_postings")
     return observed_totals(drain(typed, typed_dir, checkpoint), "typed_postings")
 
 

@@ -9,7 +9,7 @@ from boardweave.operators.salary import fx_rates, salary_base_from, salary_facts
 from boardweave.operators import marts as M
 from boardweave.operators.typed import typed_postings
 from boardweave.plans.facade import bronze
-from boardweave.plans.silver_run import silver_run
+from boardweave.plans.silver_run import silver_run, silver_run_incremental
 from boardweave.sources import tables as S
 
 # a salary nobody earns, and a record that does not say who it is
@@ -131,3 +131,23 @@ def test_duplication_pairs_come_from_boards(spark, silver):
     got = {(r["board_a"], r["board_b"]): (r["dup_groups"], r["redundant_postings"], r["total_postings"])
            for r in M.duplication_rate(postings).collect()}
     assert got == {("x", "y"): (1, 2, 3), ("x", "z"): (1, 2, 3), ("y", "z"): (1, 2, 2)}
+
+
+def test_incremental_run_types_new_rows_only(spark, tmp_path):
+    rows = bronze(spark, "/root/testdata/sf0.001")
+    places = [str(tmp_path / n) for n in ("bronze", "state", "out")]
+
+    def typed_in_last_run():
+        metrics = S.read_published(spark, places[2], "quality_metrics").filter("dataset = 'postings_typed'")
+        return {r["passed_records"] + r["failed_records"] for r in metrics.collect()}
+
+    halves = [rows.filter("board < 'board_3'"), rows.filter("board >= 'board_3'")]
+    for half in halves:
+        half.write.mode("append").parquet(places[0])
+        silver_run_incremental(spark, *places, as_of="2026-09-01", with_marts=False)
+        assert typed_in_last_run() == {half.count()}
+    silver_run_incremental(spark, *places, as_of="2026-09-01", with_marts=False)
+    assert typed_in_last_run() == {0}
+    silver_run(rows, str(tmp_path / "once"), as_of="2026-09-01", with_marts=False)
+    found, whole = S.read_published(spark, places[2], "postings"), S.read_published(spark, str(tmp_path / "once"), "postings")
+    assert found.exceptAll(whole).count() == 0 and whole.exceptAll(found).count() == 0
