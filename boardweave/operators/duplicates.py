@@ -15,16 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardweave.functions.text import norm_text
+from boardweave.sources.tables import POSTINGS
 
 SALTS = 1 << 16
 
-POSTING_COLUMNS = (
-    "posting_key board source_id schema_gen title company_name employment_type employment_type_raw "
-    "seniority seniority_source status is_remote is_hybrid city region country location_raw "
-    "location_quality salary_min_src salary_max_src salary_currency salary_currency_confidence "
-    "salary_period salary_period_confidence source_url source_hash dup_key dup_group_size is_canonical "
-    "is_cross_board_duplicate posted_at updated_at last_seen_at expires_at exported_at"
-).split()
+POSTING_COLUMNS = [name for name, *_ in POSTINGS]
 
 _BY_URL = "url:"
 

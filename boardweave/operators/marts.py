@@ -12,6 +12,14 @@ from boardweave.operators.salary import has_amount, with_annual_usd
 SMALL_SAMPLE = 5
 MIN_SKILL_POSTINGS = 10
 
+TABLE_COMMENTS = {
+    "weekly_postings": "New canonical postings per board and ISO week.",
+    "salary_bands": f"Quartiles of annual salaries of canonical postings; under {SMALL_SAMPLE} postings are flagged, not hidden.",
+    "skill_trends": f"Postings per skill, board and week; skills with at least {MIN_SKILL_POSTINGS} postings overall.",
+    "duplication_rate": "Duplicate groups over several boards per pair of boards, week and kind of match.",
+    "salary_coverage": "Canonical postings with a usable salary per board.",
+    "mart_reconciliation": "Checks of the marts against each other and the postings; a violation fails the run.",
+}
 SKILL_TREND_RULES = rules(FAIL, {"share_in_unit_range": "share BETWEEN 0 AND 1"})
 BAND_RULES = rules(DROP, {"has_postings": "n_postings > 0"}) + rules(WARN, {
     "bands_ordered": "p25 <= p50 AND p50 <= p75"})
@@ -23,6 +31,9 @@ def weekly_rules(as_of: str | None = None):
         "counts_not_negative": "new_postings >= 0 AND distinct_companies >= 0"})
 
 
+RECONCILIATION_RULES = rules(FAIL, {"reconciled": "violations = 0"})
+
+
 def week_of(when: str = "posted_at") -> Column:
     return F.date_trunc("week", when).alias("week")
 
@@ -141,17 +152,20 @@ def salary_coverage(postings: DataFrame, fx: DataFrame) -> DataFrame:
         (100 * usable / F.count("*")).alias("salary_coverage_pct"))
 
 
-def reconciliation(postings: DataFrame, weekly: DataFrame, bands: DataFrame, trends: DataFrame) -> DataFrame:
-    """(check, violations): band order, share range, weekly sums per board."""
-    def violations(name: str, rows: DataFrame) -> DataFrame:
-        return rows.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check"), "violations")
+def reconciliation(postings: DataFrame, weekly: DataFrame, bands: DataFrame, trends: DataFrame,
+                   as_of: str | None = None) -> DataFrame:
+    """(check, checked, violations): band order, share range, and weekly sums per
+    board against the canonical postings whose week is known and not in the future."""
+    def checked(name: str, rows: DataFrame, holds: str) -> DataFrame:
+        return rows.agg(F.count("*").alias("checked"), F.count_if(~F.coalesce(F.expr(holds), F.lit(False))).alias("violations")
+                        ).select(F.lit(name).alias("check"), "checked", "violations")
 
-    expected = postings.filter("is_canonical").groupBy("board").agg(F.count("*").alias("expected"))
+    now = f"timestamp'{as_of}'" if as_of else "current_timestamp()"
+    expected = (postings.filter("is_canonical").filter(week_of() <= F.expr(now))
+                .groupBy("board").agg(F.count("*").alias("expected")))
     summed = weekly.groupBy("board").agg(F.sum("new_postings").alias("summed"))
-    off = expected.join(summed, "board", "full_outer").filter(
-        ~F.col("expected").eqNullSafe(F.col("summed")))
     return (
-        violations("bands_ordered", bands.filter("NOT (p25 <= p50 AND p50 <= p75)"))
-        .union(violations("share_in_unit_range", trends.filter("NOT share BETWEEN 0 AND 1")))
-        .union(violations("weekly_sums_match", off))
+        checked("bands_ordered", bands, "p25 <= p50 AND p50 <= p75")
+        .union(checked("share_in_unit_range", trends, "share BETWEEN 0 AND 1"))
+        .union(checked("weekly_sums_match", expected.join(summed, "board", "full_outer"), "expected = summed"))
     )

@@ -126,44 +126,20 @@ def measure(df: DataFrame, applied: list[Rule], dataset: str) -> DataFrame:
             .select(F.lit(dataset).alias("dataset"), "m.*"))
 
 
-# --- the event log: metrics as data ----------------------------------------------
+# --- metrics of several runs ------------------------------------------------------
 
-_PAYLOAD = "array<struct<name:string,dataset:string,passed_records:bigint,failed_records:bigint>>"
+def of_latest_run(metrics: DataFrame) -> DataFrame:
+    """Rows of the run recorded last. Its id is one row by construction and
+    joins on equality, so that side is reduced to it before it meets the rest."""
+    latest = metrics.agg(F.max_by("run_id", F.struct("recorded_at", "run_id")).alias("run_id"))
+    return metrics.join(latest, "run_id", "left_semi")
 
 
-def as_event_log(metrics: DataFrame, run_id: str, at: str) -> DataFrame:
-    """Metrics in event-log form: one start event and one progress event per
-    dataset, whose details hold the counts as JSON."""
-    entry = F.struct("name", "dataset", "passed_records", "failed_records")
-    details = F.to_json(F.struct(F.struct(F.struct(
-        F.sort_array(F.collect_list(entry)).alias("expectations")
-    ).alias("data_quality")).alias("flow_progress")))
-    stamp, origin = F.lit(at).cast("timestamp"), F.struct(F.lit(run_id).alias("update_id"))
-    progress = metrics.groupBy("dataset").agg(details.alias("details")).select(
-        stamp.alias("timestamp"), F.lit("flow_progress").alias("event_type"), origin.alias("origin"), "details")
-    start = metrics.sparkSession.range(1).select(
-        stamp.alias("timestamp"), F.lit("create_update").alias("event_type"), origin.alias("origin"),
-        F.lit("{}").alias("details"))
-    return start.union(progress)
-
-
-def expectation_rollup(event_log: DataFrame) -> DataFrame:
-    """Passed, failed and failed percent per rule of the latest update.
-
-    The latest update id is one row by construction and joins on equality, so
-    its side is reduced to that row before it meets the log.
-    """
-    latest = (event_log.filter("event_type = 'create_update'")
-              .agg(F.max_by("origin.update_id", F.struct("timestamp", "origin.update_id")).alias("update_id")))
-    payload = F.from_json(F.get_json_object("details", "$.flow_progress.data_quality.expectations"), _PAYLOAD)
-    entries = (
-        event_log.filter("event_type = 'flow_progress'")
-        .select(F.col("origin.update_id").alias("update_id"), F.explode(payload).alias("ex"))
-        .join(latest, "update_id", "left_semi")
-    )
-    passed, failed = F.sum("ex.passed_records"), F.sum("ex.failed_records")
+def expectation_rollup(metrics: DataFrame) -> DataFrame:
+    """Passed, failed and failed percent per rule of the latest run in ``METRIC_SCHEMA`` rows."""
+    passed, failed = F.sum("passed_records"), F.sum("failed_records")
     return (
-        entries.groupBy(F.col("ex.dataset").alias("dataset"), F.col("ex.name").alias("expectation"))
+        of_latest_run(metrics).groupBy("dataset", F.col("name").alias("expectation"))
         .agg(passed.alias("passed"), failed.alias("failed"),
              F.round(100 * failed / F.nullif(passed + failed, F.lit(0)), 2).alias("failed_pct"))
         .orderBy("dataset", "expectation")

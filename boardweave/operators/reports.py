@@ -31,8 +31,9 @@ def raw_spellings(bronze: DataFrame, top: int = 25) -> DataFrame:
             .orderBy(F.desc("n"), "schema_gen", "employment_raw").limit(top))
 
 
-def rows_per_file(bronze: DataFrame) -> DataFrame:
-    return (bronze.groupBy(path_tail(F.col("_source_file")).alias("file"))
+def rows_per_file(bronze: DataFrame, parts: int = 2) -> DataFrame:
+    """Rows and first ingest per file, named by the last ``parts`` of its path."""
+    return (bronze.groupBy(path_tail(F.col("_source_file"), parts).alias("file"))
             .agg(F.count("*").alias("rows"), F.min("_ingested_at").alias("ingested_at")).orderBy("file"))
 
 

@@ -56,6 +56,7 @@ def _int(col: str) -> str:
 _EMPLOYMENT = {n: L.EMPLOYMENT_NAMES[v] for n, v in L.EMPLOYMENT_ORDINALS.items()}
 _STATUS = {n: v.lower() for n, v in L.STATUS_ORDINALS.items()}
 _STATES = ", ".join(f"'{s}'" for s in L.US_STATES)
+_COUNTRIES = ", ".join(f"'{c}'" for c in sorted({*L.COUNTRY_NAMES.values(), *L.COUNTRY_CURRENCY}))
 _MID = "coalesce(CAST(s_min + s_max AS DOUBLE) / 2, CAST(s_min AS DOUBLE), CAST(s_max AS DOUBLE))"
 
 CTES: dict[str, str] = {}

@@ -30,7 +30,8 @@ def silver_run(bronze: DataFrame, out_dir: str, run_id: str | None = None, as_of
     ``ExpectationFailed`` and leaves the published run as it was.
     """
     def current(table, _note) -> DataFrame:
-        return latest_wins(table("postings_typed", typed_postings(bronze, state_policy, min_evidence), Q.TYPED_RULES))
+        rows = typed_postings(bronze, state_policy, min_evidence)
+        return latest_wins(table("postings_typed", S.declared(rows, S.TYPED), Q.TYPED_RULES))
     return _built(bronze.sparkSession, out_dir, current, run_id, as_of, with_marts)
 
 
@@ -85,7 +86,7 @@ def _built(spark: SparkSession, out_dir: str, current_rows: Callable, run_id: st
         metrics.extend(Q.metric_rows(run_id, name, list(applied), counts, datetime.now(timezone.utc)))
 
     fx = table("ref_fx_rates", S.declared(fx_rates(spark), S.REF_FX_RATES, "reference"), Q.FX_RULES)
-    current = table("postings_current", current_rows(table, note), Q.CURRENT_RULES)
+    current = table("postings_current", S.declared(current_rows(table, note), S.TYPED), Q.CURRENT_RULES)
     postings = table("postings", S.declared(enrich_postings(current), S.POSTINGS), Q.posting_rules(as_of))
     table("posting_skills", S.declared(skills_from(current, unique_keys=True), S.POSTING_SKILLS), Q.SKILL_RULES)
     # facts and quarantine both scan the few salary columns of ``postings``:
@@ -95,12 +96,20 @@ def _built(spark: SparkSession, out_dir: str, current_rows: Callable, run_id: st
     table("salary_quarantine", S.declared(salary_quarantine_from(base), S.SALARY_QUARANTINE), Q.QUARANTINE_RULES)
 
     if with_marts:
-        table("weekly_postings", M.weekly_postings(postings, fx), M.weekly_rules(as_of))
-        table("salary_bands", M.salary_bands(facts), M.BAND_RULES)
-        dated = Q.enforce(skills_from(current, carry=("posted_at",), unique_keys=True), Q.SKILL_RULES)
-        table("skill_trends", M.skill_trends(dated, postings), M.SKILL_TREND_RULES)
-        table("duplication_rate", M.duplication_rate(postings))
+        def mart(name: str, rows: DataFrame, columns: list, applied: list[Q.Rule] = ()) -> DataFrame:
+            return table(name, S.declared(rows, columns, "gold"), applied)
 
+        weekly = mart("weekly_postings", M.weekly_postings(postings, fx), S.WEEKLY_POSTINGS, M.weekly_rules(as_of))
+        bands = mart("salary_bands", M.salary_bands(facts), S.SALARY_BANDS, M.BAND_RULES)
+        dated = Q.enforce(skills_from(current, carry=("posted_at",), unique_keys=True), Q.SKILL_RULES)
+        trends = mart("skill_trends", M.skill_trends(dated, postings), S.SKILL_TRENDS, M.SKILL_TREND_RULES)
+        mart("duplication_rate", M.duplication_rate(postings), S.DUPLICATION_RATE)
+        mart("salary_coverage", M.salary_coverage(postings, fx), S.SALARY_COVERAGE)
+        mart("mart_reconciliation", M.reconciliation(postings, weekly, bands, trends, as_of), S.MART_RECONCILIATION,
+             M.RECONCILIATION_RULES)
+
+    S.write_table(spark.createDataFrame(list(M.TABLE_COMMENTS.items()), "dataset string, comment string").coalesce(1),
+                  run_dir, "table_comments")
     S.write_table(spark.createDataFrame(metrics, Q.METRIC_SCHEMA).coalesce(1), run_dir, "quality_metrics")
     S.publish(spark, out_dir, run_id)
     return run_id

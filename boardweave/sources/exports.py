@@ -66,6 +66,13 @@ def export_records(df: DataFrame, board: str, generation: str, exported_at: str,
         F.lit(exported_at).alias("exported_at"), *clean)
 
 
+def tagged_records(jobs: DataFrame, companies: DataFrame, links: DataFrame, tags: DataFrame, since: str, board: str,
+                   exported_at: str, fields: tuple[str, ...]) -> DataFrame:
+    """Second-generation export: each job created or updated since, with company and tags in one record."""
+    changed = changed_since(jobs, since, "gen_b")
+    return export_records(fold_tags(with_company(changed, companies), links, tags), board, "gen_b", exported_at, fields)
+
+
 def as_json_lines(df: DataFrame) -> DataFrame:
     """One JSON object per row in column ``value``; NULL fields are left out."""
     return df.select(F.to_json(F.struct("*")).alias("value"))

@@ -79,6 +79,60 @@ REF_FX_RATES = [
     ("usd_rate", "double", "US dollars per unit"),
     ("as_of", "string", "when the rates were pinned"),
 ]
+_FLAGS = {"dup_group_size", "is_canonical", "is_cross_board_duplicate"}
+_AS_PUBLISHED = {  # further columns of typed rows, before the one they stand next to
+    "salary_currency": [("salary_currency_src", "string", "currency as published")],
+    "salary_period": [("salary_period_src", "string", "pay period as published, if it is a known one")],
+    "source_url": [("skills_json", "string", "skills as published, a JSON array"), ("tags", "array<string>", "tags as published")],
+}
+TYPED = [column for c in POSTINGS if c[0] not in _FLAGS for column in [*_AS_PUBLISHED.get(c[0], []), c]]
+WEEKLY_POSTINGS = [
+    ("week", "timestamp", "Monday the ISO week begins with"),
+    ("board", "string", "feed"),
+    ("new_postings", "bigint", "canonical postings of the week"),
+    ("distinct_companies", "bigint", "different company names among them"),
+    ("remote_share", "double", "share of them that is remote, 0 to 1"),
+    ("salary_coverage_pct", "double", "percent of them with a usable salary"),
+]
+SALARY_BANDS = [
+    ("board", "string", "feed"),
+    ("country", "string", "country of the postings"),
+    ("seniority", "string", "seniority of the postings"),
+    ("employment_type", "string", "employment type of the postings"),
+    ("p25", "double", "lower quartile of the annual midpoint in US dollars"),
+    ("p50", "double", "median of the annual midpoint in US dollars"),
+    ("p75", "double", "upper quartile of the annual midpoint in US dollars"),
+    ("n_postings", "bigint", "canonical postings with a usable salary"),
+    ("small_sample", "boolean", "too few postings to rely on"),
+]
+SKILL_TRENDS = [
+    ("skill", "string", "normalised skill"),
+    ("board", "string", "feed"),
+    ("week", "timestamp", "Monday the ISO week begins with; NULL if unknown"),
+    ("postings", "bigint", "postings that ask for the skill"),
+    ("share", "double", "share of all postings of board and week, 0 to 1"),
+]
+DUPLICATION_RATE = [
+    ("board_a", "string", "one feed of the pair"),
+    ("board_b", "string", "the other feed of the pair"),
+    ("week", "timestamp", "week of the canonical posting"),
+    ("matched_by", "string", "source_url or fingerprint"),
+    ("dup_groups", "bigint", "groups that span both feeds"),
+    ("redundant_postings", "bigint", "their postings that are not canonical"),
+    ("total_postings", "bigint", "all postings of both feeds in the week"),
+    ("rate", "double", "redundant by total postings"),
+]
+SALARY_COVERAGE = [
+    ("board", "string", "feed"),
+    ("postings", "bigint", "canonical postings"),
+    ("usable", "bigint", "those with a usable salary"),
+    ("salary_coverage_pct", "double", "their percentage"),
+]
+MART_RECONCILIATION = [
+    ("check", "string", "name of the check"),
+    ("checked", "bigint", "rows it looked at"),
+    ("violations", "bigint", "rows that break it; the run fails unless 0"),
+]
 
 
 def struct_of(columns: list[tuple[str, str, str]], quality: str = "silver") -> T.StructType:
@@ -102,6 +156,11 @@ def write_table(df: DataFrame, run_dir: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def every_run(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    """Rows of one table over all runs below ``out_dir`` that came to write it."""
+    return spark.read.parquet(f"{out_dir}/run=*/{name}")
+
+
 def publish(spark: SparkSession, out_dir: str, run_id: str) -> None:
     """Point readers at a finished run; until then they see the one before.
 

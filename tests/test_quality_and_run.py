@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from conftest import posting
 from pyspark.sql import functions as F
@@ -46,9 +48,11 @@ def test_counts_in_one_pass_and_while_writing(numbers):
     assert kept.count() == 1 and seen.get == {"rows": 3, "passed:p": 1, "passed:q": 2}
 
 
-def test_rollup_reads_the_latest_update_only(spark, numbers):
-    old = Q.as_event_log(Q.measure(numbers, Q.rules(Q.WARN, {"p": "x > 0"}), "t"), "a", "2026-01-01")
-    new = Q.as_event_log(Q.measure(numbers.limit(0), Q.rules(Q.WARN, {"q": "x > 0"}), "t"), "b", "2026-01-02")
+def test_rollup_reads_the_latest_run_only(spark):
+    def metrics(run_id, at, name, passed, failed):
+        return spark.createDataFrame([(run_id, datetime.fromisoformat(at), "t", name, Q.WARN, passed, failed)], Q.METRIC_SCHEMA)
+
+    old, new = metrics("a", "2026-01-01", "p", 1, 2), metrics("b", "2026-01-02", "q", 0, 0)
     rows = [tuple(r) for r in Q.expectation_rollup(old.union(new)).collect()]
     assert rows == [("t", "q", 0, 0, None)]
 
@@ -71,16 +75,22 @@ def test_absurd_salary_is_dropped_and_quarantined(spark, run):
 def test_declared_tables(spark, run):
     out, _ = run
     for name, declared in [("postings", S.POSTINGS), ("posting_skills", S.POSTING_SKILLS),
-                           ("salary_facts", S.SALARY_FACTS), ("salary_quarantine", S.SALARY_QUARANTINE)]:
+                           ("salary_facts", S.SALARY_FACTS), ("salary_quarantine", S.SALARY_QUARANTINE),
+                           ("postings_typed", S.TYPED), ("postings_current", S.TYPED), ("weekly_postings", S.WEEKLY_POSTINGS),
+                           ("salary_bands", S.SALARY_BANDS), ("skill_trends", S.SKILL_TRENDS),
+                           ("duplication_rate", S.DUPLICATION_RATE), ("salary_coverage", S.SALARY_COVERAGE),
+                           ("mart_reconciliation", S.MART_RECONCILIATION)]:
         fields = S.read_published(spark, out, name).schema.fields
         assert [(f.name, f.dataType.simpleString()) for f in fields] == [(n, k) for n, k, _ in declared]
         assert all(f.metadata["comment"] for f in fields)
+    comments = dict(S.read_published(spark, out, "table_comments").collect())
+    assert "at least 10 postings" in comments["skill_trends"]
 
 
 def test_metrics_match_the_tables(spark, run):
     out, run_id = run
     metrics = {(r["dataset"], r["name"]): r for r in S.read_published(spark, out, "quality_metrics").collect()}
-    assert len(metrics) == 17 + 5  # silver rules, mart rules
+    assert len(metrics) == 17 + 6  # silver rules, mart rules
     bounds = metrics["salary_facts", "annual_in_bounds"]
     assert bounds["passed_records"] == S.read_published(spark, out, "salary_facts").count()
     assert bounds["failed_records"] == S.read_published(spark, out, "salary_quarantine").count()
