@@ -18,7 +18,7 @@ from boardweave.operators.skills import skills_from
 from boardweave.operators.typed import typed_postings
 from boardweave.plans.session import tune
 from boardweave.sources import tables as S
-from boardweave.streaming.silver import read_current, stream_typed, table_stream, upsert_log
+from boardweave.streaming.silver import compact_log, read_current, stream_typed, table_stream, upsert_log
 
 
 def silver_run(bronze: DataFrame, out_dir: str, run_id: str | None = None, as_of: str | None = None,
@@ -37,12 +37,13 @@ def silver_run(bronze: DataFrame, out_dir: str, run_id: str | None = None, as_of
 
 def silver_run_incremental(spark: SparkSession, bronze_dir: str, state_dir: str, out_dir: str, run_id: str | None = None,
                            as_of: str | None = None, state_policy: str = "passthrough", with_marts: bool = True,
-                           min_evidence: bool = False, limits: dict[str, str] | None = None) -> str:
+                           min_evidence: bool = False, limits: dict[str, str] | None = None, compact_every: int = 8) -> str:
     """As ``silver_run`` over the bronze table, but typing only rows that are new since the last call.
 
     ``state_dir`` keeps the typed rows, the log of newest versions and the
     checkpoints of both streams; a fresh folder is a full refresh. ``limits``
-    bounds the micro-batches. The later tables are built anew from the current
+    bounds the micro-batches. After ``compact_every`` batches the log of newest
+    versions is compacted, so a run never reads its whole history. The later tables are built anew from the current
     rows, for any of their groups may have changed.
     """
     typed_dir, log_dir = f"{state_dir}/typed", f"{state_dir}/log"
@@ -58,6 +59,7 @@ def silver_run_incremental(spark: SparkSession, bronze_dir: str, state_dir: str,
         passed = {f"passed:{r.name}": counts.get(r.name, 0) for r in Q.TYPED_RULES}
         note("postings_typed", Q.TYPED_RULES, {"rows": counts.get("rows", 0)} | passed)
         upsert_log(table_stream(spark, typed_dir, limits), log_dir, f"{state_dir}/log_checkpoint")
+        compact_log(spark, log_dir, every=compact_every)
         return read_current(spark, log_dir)
     return _built(spark, out_dir, current, run_id, as_of, with_marts)
 

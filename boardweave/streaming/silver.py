@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from boardweave.operators.latest import KEYS, SEQUENCE, latest_wins, version_order
 from boardweave.operators.quality import TYPED_RULES, Rule, enforce
 from boardweave.operators.typed import typed_postings
+from boardweave.sources import files
 from boardweave.streaming.bronze import drain
 
 
@@ -64,16 +65,43 @@ def upsert_log(stream: DataFrame, log_dir: str, checkpoint: str, keys: tuple[str
     return _drain_batches(stream, write, checkpoint, "append")
 
 
+def _compacted(log_dir: str) -> str:
+    return f"{log_dir}_compacted"
+
+
+def compacted_through(spark: SparkSession, log_dir: str) -> int | None:
+    """Newest batch that a finished compaction holds."""
+    versions = f"{_compacted(log_dir)}/versions"
+    if not files.exists(spark, versions):
+        return None
+    return spark.read.parquet(versions).agg(F.max("through")).first()[0]
+
+
 def read_current(spark: SparkSession, log_dir: str, keys: tuple[str, ...] = KEYS,
                  sequence: tuple[str, ...] = SEQUENCE) -> DataFrame:
-    """One row per key over all logged batches, late older versions ignored."""
-    return latest_wins(spark.read.parquet(log_dir).drop("batch"), keys, sequence)
+    """One row per key over the newest compaction and all batches after it, late older versions ignored."""
+    log, through = spark.read.parquet(log_dir), compacted_through(spark, log_dir)
+    if through is None:
+        return latest_wins(log.drop("batch"), keys, sequence)
+    base = spark.read.parquet(f"{_compacted(log_dir)}/through={through}")
+    return latest_wins(log.filter(F.col("batch") > through).drop("batch").unionByName(base), keys, sequence)
+
 
+def compact_log(spark: SparkSession, log_dir: str, keys: tuple[str, ...] = KEYS, sequence: tuple[str, ...] = SEQUENCE,
+                every: int = 1) -> bool:
+    """Write the current rows as a new version, once ``every`` batches have come since the last.
 
-def compact_log(spark: SparkSession, log_dir: str, target: str, keys: tuple[str, ...] = KEYS,
-                sequence: tuple[str, ...] = SEQUENCE) -> None:
-    """Write the current rows as the single batch of a new log."""
-    read_current(spark, log_dir, keys, sequence).write.parquet(f"{target}/batch=0")
+    Call it between drains, when the last batch is complete. The version counts
+    only from its entry in ``versions`` on, which is written after it; batches
+    and older versions stay until someone removes those that no reader needs.
+    """
+    newest = spark.read.parquet(log_dir).agg(F.max("batch")).first()[0]
+    through = compacted_through(spark, log_dir)
+    if newest is None or newest - (-1 if through is None else through) < every:
+        return False
+    read_current(spark, log_dir, keys, sequence).write.mode("overwrite").parquet(f"{_compacted(log_dir)}/through={newest}")
+    spark.createDataFrame([(newest,)], "through int").coalesce(1).write.mode("append").parquet(f"{_compacted(log_dir)}/versions")
+    return True
 
 
 def stateful_latest(stream: DataFrame, log_dir: str, checkpoint: str, keys: tuple[str, ...] = KEYS,

@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
-from boardweave.plans.check import compare
+from check import compare
 
 SOME = ["typed_postings", "postings", "salary_facts", "skill_trends", "duplication_rate", "sampled_postings",
         "ingested_bronze"]
