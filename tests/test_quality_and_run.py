@@ -154,9 +154,9 @@ def test_incremental_run_types_new_rows_only(spark, tmp_path):
     halves = [rows.filter("board < 'board_3'"), rows.filter("board >= 'board_3'")]
     for half in halves:
         half.write.mode("append").parquet(places[0])
-        silver_run_incremental(spark, *places, as_of="2026-09-01", with_marts=False)
+        silver_run_incremental(spark, *places, as_of="2026-09-01", with_marts=False, compact_every=1)
         assert typed_in_last_run() == {half.count()}
-    silver_run_incremental(spark, *places, as_of="2026-09-01", with_marts=False)
+    silver_run_incremental(spark, *places, as_of="2026-09-01", with_marts=False, compact_every=1)
     assert typed_in_last_run() == {0}
     silver_run(rows, str(tmp_path / "once"), as_of="2026-09-01", with_marts=False)
     found, whole = S.read_published(spark, places[2], "postings"), S.read_published(spark, str(tmp_path / "once"), "postings")
