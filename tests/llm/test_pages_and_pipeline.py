@@ -6,7 +6,7 @@ import hashlib
 import brute
 import duckdb
 import pytest
-from conftest import ODD, prose
+from odd_rows import ODD, prose
 
 from boardweave.llm import extract, queries, warc
 

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import public_tokenizers
-from conftest import ODD, prose
+from odd_rows import ODD, prose
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
