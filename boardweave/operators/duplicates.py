@@ -5,8 +5,9 @@ company and title has the same fingerprint), so no step may send a whole group
 to one task. Group facts are computed from narrow columns with map-side
 combining, in two levels: per (key, salt) first, then per key over at most
 ``SALTS`` narrow rows. Their join back to the wide rows is on (key, salt), which
-cuts a hot group into ``SALTS`` pieces without copying any row. Small groups
-pay nothing for a large ``SALTS``: a key never has more pieces than rows.
+cuts a hot group into ``SALTS`` pieces without copying any row. A large ``SALTS``
+adds no pieces to small groups, a key never having more pieces than rows; but
+every row, also one alone in its group, goes through both levels and the join.
 """
 
 from __future__ import annotations

@@ -66,7 +66,8 @@ def weekly_postings(postings: DataFrame, fx: DataFrame) -> DataFrame:
 def salary_bands(facts: DataFrame, accuracy: int = 10_000) -> DataFrame:
     """p25 / p50 / p75 of the annual midpoint per board, country, seniority and
     employment type. The percentile sketch merges partial results, so no group
-    is ever held whole."""
+    is ever held whole. A value's rank is off by at most n / ``accuracy`` of its
+    group's n rows; up to ``accuracy`` rows it is exact."""
     keys = ("board", "country", "seniority", "employment_type")
     mid = F.col("salary_mid_annual_usd")
     return (

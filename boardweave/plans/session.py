@@ -17,11 +17,16 @@ JIT_METHOD_LIMIT = "8000"
 # cache of 100 holds, and an evicted class is compiled from cold again.
 BUILDER_CONF = {"spark.sql.codegen.cache.maxEntries": "2000"}
 
+# Keeps streaming state on disk, beyond what executors have in memory.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
 
 def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", JIT_METHOD_LIMIT)
+    spark.conf.set(*STATE_STORE)
     return spark
 
 

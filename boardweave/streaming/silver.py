@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from boardweave.operators.latest import KEYS, SEQUENCE, latest_wins, version_order
 from boardweave.operators.quality import TYPED_RULES, Rule, enforce
 from boardweave.operators.typed import typed_postings
+from boardweave.plans.session import STATE_STORE
 from boardweave.sources import files
 from boardweave.streaming.bronze import drain
 
@@ -109,9 +110,13 @@ def stateful_latest(stream: DataFrame, log_dir: str, checkpoint: str, keys: tupl
     """Latest-wins with the newest version of every key held in stream state.
 
     Every batch writes the keys it touched with their newest version so far,
-    which is right even for a row that arrives late. State grows with the
-    number of keys: for many, set a disk-backed state store on the session.
+    which is right even for a row that arrives late. State holds a whole row
+    of every key, so a session whose state store keeps it in memory is
+    refused; ``session.tune`` sets the one on disk. ``upsert_log`` needs no state.
     """
+    provider = stream.sparkSession.conf.get(STATE_STORE[0])
+    if provider != STATE_STORE[1]:
+        raise ValueError(f"{STATE_STORE[0]} must be {STATE_STORE[1]}, not {provider}")
     newest = (
         stream.groupBy(*keys)
         .agg(F.max_by(F.struct(*stream.columns), version_order(stream, sequence)).alias("_row"))

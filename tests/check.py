@@ -28,26 +28,27 @@ def _canonical(rows, columns):
 def compare(spark, sf_dir: str, names=None, show: int = 3) -> dict[str, str]:
     import duckdb
 
-    from boardweave.plans.queries import ORACLE, QUERIES
+    import __spark_entry__ as entry_points
+    queries, oracle = entry_points.queries(), entry_points.oracle_sql()
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     verdicts = {}
-    for name in names or QUERIES:
+    for name in names or queries:
         begun = time.time()
         try:
-            df = QUERIES[name](spark, sf_dir)
+            df = queries[name](spark, sf_dir)
             got = _canonical([tuple(r) for r in df.collect()], df.columns)
         except Exception as error:  # reported, not hidden: the verdict carries it
             verdicts[name] = f"ERROR {type(error).__name__}: {str(error)[:600]}"
             print(name, verdicts[name], flush=True)
             continue
         took = time.time() - begun
-        if name not in ORACLE:
+        if name not in oracle:
             verdicts[name] = "rows only"
         else:
-            result = con.execute(ORACLE[name])
+            result = con.execute(oracle[name])
             columns = [c[0] for c in result.description]
             want = _canonical(result.fetchall(), columns)
             if sorted(columns) != sorted(df.columns):

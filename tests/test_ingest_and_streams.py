@@ -2,12 +2,13 @@ import json
 import os
 
 import pytest
-from conftest import posting
 from pyspark.sql import functions as F
+from records import posting
 
 from boardweave.operators.latest import latest_wins
 from boardweave.operators.typed import typed_postings
 from boardweave.plans.facade import bronze
+from boardweave.plans.session import STATE_STORE
 from boardweave.sources import landing as G
 from boardweave.streaming import bronze as SB
 from boardweave.streaming import silver as SS
@@ -129,6 +130,17 @@ def test_late_version_does_not_win(spark, bronze_of, tmp_path, stateful):
     assert got.filter("source_id = 1").first()["title"] == "newest"
 
 
+def test_state_in_memory_is_refused(spark, bronze_of, tmp_path):
+    src, name = str(tmp_path / "in"), STATE_STORE[0]
+    typed_postings(bronze_of(posting())).write.parquet(src)
+    spark.conf.set(name, STATE_STORE[1].replace("RocksDB", "HDFSBacked"))
+    try:
+        with pytest.raises(ValueError, match="RocksDB"):
+            SS.stateful_latest(SS.table_stream(spark, src), str(tmp_path / "log"), str(tmp_path / "cp"))
+    finally:
+        spark.conf.set(*STATE_STORE)
+
+
 def test_full_refresh(spark, bronze_of, tmp_path):
     src, log = str(tmp_path / "in"), str(tmp_path / "log")
     typed_postings(bronze_of(posting(), posting(Id="2"))).write.parquet(src)

@@ -1,8 +1,8 @@
 from datetime import datetime
 
 import pytest
-from conftest import posting
 from pyspark.sql import functions as F
+from records import posting
 
 from boardweave.operators import quality as Q
 from boardweave.operators.duplicates import flag_duplicates
@@ -161,3 +161,16 @@ def test_incremental_run_types_new_rows_only(spark, tmp_path):
     silver_run(rows, str(tmp_path / "once"), as_of="2026-09-01", with_marts=False)
     found, whole = S.read_published(spark, places[2], "postings"), S.read_published(spark, str(tmp_path / "once"), "postings")
     assert found.exceptAll(whole).count() == 0 and whole.exceptAll(found).count() == 0
+
+
+def test_quartiles_of_a_large_group(spark):
+    """Beyond the sketch's accuracy a rank may be off by one in ten thousand, and no more."""
+    n = 60_000
+    facts = spark.range(n).select(
+        F.lit("b").alias("board"), F.lit("US").alias("country"), F.lit("mid").alias("seniority"),
+        F.lit("full_time").alias("employment_type"), F.lit(True).alias("is_canonical"),
+        (F.col("id") * 7919 % n).cast("double").alias("salary_mid_annual_usd")).repartition(8)
+    (row,) = M.salary_bands(facts).collect()
+    assert row["n_postings"] == n and not row["small_sample"]
+    for p, share in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        assert abs(row[p] - share * n) <= n / 10_000 + 1

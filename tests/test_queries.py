@@ -7,8 +7,9 @@ import pytest
 import __spark_entry__ as entry_points
 from check import compare
 
-SOME = ["typed_postings", "postings", "salary_facts", "skill_trends", "duplication_rate", "sampled_postings",
-        "ingested_bronze"]
+SOME = ("typed_postings postings salary_facts skill_trends duplication_rate sampled_postings ingested_bronze version_history "
+        "cross_board_duplicates canonical_not_open us_state_policy quarantine_summary weekly_postings salary_bands "
+        "rescued_fields streamed_upsert_log streamed_stateful_latest").split()
 NAMES = list(entry_points.queries()) if os.environ.get("CHECK_ALL") else SOME
 
 

@@ -1,9 +1,9 @@
 from decimal import Decimal
 
 import pytest
-from conftest import posting
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from records import posting
 
 from boardweave.operators import duplicates as D
 from boardweave.operators import salary as P
