@@ -21,11 +21,20 @@ def latest_wins(df: DataFrame, keys: tuple[str, ...] = KEYS,
                 sequence: tuple[str, ...] = SEQUENCE) -> DataFrame:
     """Newest version per key, whatever order the versions arrived in.
 
-    ``max_by`` combines on the map side, so a key with any number of versions
-    leaves each task as one row; a ranking window would ship them all.
+    The rank is limited before the exchange too (Spark's window group limit), so
+    a key with any number of versions leaves each task as one row.
     """
-    version = F.max_by(F.struct(*df.columns), version_order(df, sequence))
-    return df.groupBy(*keys).agg(version.alias("_row")).select("_row.*")
+    place = unused(df, "place")
+    newest_first = Window.partitionBy(*keys).orderBy(version_order(df, sequence).desc())
+    return df.withColumn(place, F.row_number().over(newest_first)).filter(F.col(place) == 1).drop(place)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it while a column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
 
 
 def version_history(df: DataFrame, keys: tuple[str, ...] = KEYS,
