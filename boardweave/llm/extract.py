@@ -28,6 +28,7 @@ _NAME = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[
 _SIGNS = re.compile(r"[.,;:!?。、，！？…]")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data dfn del em font i ins kbd label mark q rp rt ruby s samp small span
     strike strong sub sup time tt u var wbr img br""".split())
 FURNITURE = frozenset("""nav header footer aside form button select option menu dialog template svg math object audio video canvas
@@ -88,14 +89,10 @@ def _furniture(name: str, attributes: str, inside: bool) -> tuple[bool, str]:
 def nodes_of(page: str) -> list[Node]:
     """Text nodes by block, in page order, furniture left out."""
     root = here = Element("#", "#", None, False)
-    links, nodes, node, skip = 0, [], None, ""
-    for m in _TAG.finditer(page):
-        piece = m[0]
+    links, nodes, node, place = 0, [], None, 0
+    while m := _TAG.match(page, place):
+        piece, place = m[0], m.end()
         name = (m[2] or m[5] or "").lower()
-        if skip:
-            if name == skip and (m[1] or m[4]):
-                skip = ""
-            continue
         if not name:
             if piece.startswith(("<!", "<?")) or here.out:
                 continue
@@ -105,8 +102,9 @@ def nodes_of(page: str) -> list[Node]:
             node.linked += len(piece.strip()) if links else 0
             continue
         closing, attributes = m[1] or m[4], m[3] or m[6] or ""
-        if name in RAW and not closing:
-            skip = name
+        if name in RAW and not closing:  # no tags in it: what follows begins at its closing tag
+            end = _RAW_END[name].search(page, place)
+            place = end.start() if end else len(page)
             continue
         if name == "br":
             if node is not None:
