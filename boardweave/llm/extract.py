@@ -4,8 +4,10 @@ A page becomes text nodes in order, each with its root-to-leaf path of block
 elements (name and first class or id). For every path, text length,
 punctuation and linked length are summed and divided by its nodes; the two
 ratios are smoothed over the page's order of nodes, fused to one score, and
-paths whose score reaches a share of the best are content paths. Their nodes
-select the content element: the innermost that holds nearly all of their text.
+paths whose score reaches a share of the best are content paths; paths in an
+article or main element score a quarter more. Their nodes select the content
+element: the innermost that holds nearly all of their text, or the outermost
+around it in its article that adds little but links.
 In it, every block is taken that is not furniture by its element or name and
 not mostly links, so that headings and short paragraphs stay.
 """
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 SMOOTH = (0.25, 0.5, 1.0, 0.5, 0.25)
 THRESHOLD, HOLDS, LINKED = 0.25, 0.85, 0.6
+RAISED = 1.25  # for paths in article and main
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<""", re.S)
 _NAME = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -180,16 +183,20 @@ def path_scores(nodes: list[Node]) -> dict[tuple[str, ...], float]:
     return {path: sum(v) / len(v) for path, v in fused.items()}
 
 
+def _content(nodes: list[Node]) -> list[Node]:
+    """The nodes of content paths; article and main raise the score of a path and decide nothing by themselves."""
+    scores = path_scores(nodes)
+    scores |= {n.path: RAISED * scores[n.path] for n in {n.path: n for n in nodes if n.element.article}.values()}
+    limit = THRESHOLD * max(scores.values())
+    return [n for n in nodes if scores[n.path] >= limit]
+
+
 def main_text(page: str) -> str:
     """The article's blocks joined by an empty line; empty if there is none."""
     nodes = nodes_of(page)
-    if any(n.element.article for n in nodes):
-        nodes = [n for n in nodes if n.element.article]
     if not nodes:
         return ""
-    scores = path_scores(nodes)
-    limit = THRESHOLD * max(scores.values())
-    content = [n for n in nodes if scores[n.path] >= limit]
+    content = _content(nodes)
     total = 0
     for n in content:
         total += len(n.text)
@@ -206,9 +213,18 @@ def main_text(page: str) -> str:
             box = at
     if box is not None and len(content) > 1 and box.parent is not None and box.name in ("p", "li", "td", "dd", "blockquote"):
         box = box.parent
-    if any(n.element.article for n in nodes):
-        while box.parent is not None and box.parent.article:
-            box = box.parent
+    if box is not None and box.article:  # with the short blocks beside it, as long as it holds nearly all that is not linked
+        own, at, best = {}, box, box
+        for n in nodes:
+            up = n.element
+            while up is not None:
+                own[up] = own.get(up, 0) + max(0, len(n.text) - n.linked)
+                up = up.parent
+        while at.parent is not None and at.parent.article:
+            at = at.parent
+            if box.weight >= HOLDS * own[at]:
+                best = at
+        box = best
     chosen = [n for n in nodes if _within(n.element, box) and n.linked < LINKED * len(n.text)]
     return "\n\n".join(n.text for n in chosen)
 

@@ -12,3 +12,24 @@ LONG = [prose(k, 60).capitalize() + ", and so on." for k in range(4)]
 def test_sign_less_in_a_script(script):
     body = f"<body><article><h1>Head</h1><p>{LONG[0]}</p>{script}<p>{LONG[1]}</p></article></body>"
     assert extract.main_text(f"<html><head>{script}<title>No</title></head>{body}") == "\n\n".join(["Head", LONG[0], LONG[1]])
+
+
+def test_text_outside_article_elements():
+    cards = "".join(f"<article><h3><a href='/{i}'>Card {i}</a></h3><p>Teaser number {i}.</p></article>" for i in range(5))
+    text = "".join(f"<p>{x}</p>" for x in LONG)
+    for page in (f"<body><div class=story><h1>Head</h1>{text}</div><div class=more>{cards}</div></body>",
+                 f"<body><div class=more>{cards}</div><div class=story><h1>Head</h1>{text}</div></body>"):
+        assert extract.main_text(page) == "\n\n".join(["Head", *LONG])
+
+
+def test_blocks_of_an_article_beside_other_text():
+    text = "".join(f"<p>{x}</p>" for x in LONG)
+    page = f"<body><div class=top><p>Site.</p></div><main><article><header><h1>Head</h1></header><div class=body>{text}<p>Tiny.</p></div></article></main><div class=low><p>Short line.</p></div></body>"
+    assert extract.main_text(page) == "\n\n".join(["Head", *LONG, "Tiny."])
+
+
+def test_scores_decide_within_main():
+    text = "".join(f"<p>{x}</p>" for x in LONG)
+    teasers = "".join(f"<div class=item><h4>Item {i}</h4><span>Some more words of item number {i} without any end and so forth</span></div>" for i in range(12))
+    page = f"<body><main><div class=story><h1>Head</h1>{text}</div><div class=grid>{teasers}</div></main></body>"
+    assert extract.main_text(page) == "\n\n".join(["Head", *LONG])
