@@ -8,8 +8,11 @@ paths whose score reaches a share of the best are content paths; paths in an
 article or main element score a quarter more. Their nodes select the content
 element: the innermost that holds nearly all of their text, or the outermost
 around it in its article that adds little but links.
-In it, every block is taken that is not furniture by its element or name and
-not mostly links, so that headings and short paragraphs stay.
+In it, every block is taken that is not furniture by its element or by a whole
+class or id, so that headings and short paragraphs stay; mostly linked blocks
+go unless they are a heading, a paragraph or a list of sources. A class or id
+removes nothing that holds most of the page's scored text (all of it, for names
+of advertisements, comments and the like).
 """
 
 from __future__ import annotations
@@ -42,16 +45,26 @@ WORDS = frozenset("""ad ads adv advert advertisement advertising adbox adslot ba
     alert popup modal overlay newsletter subscribe subscription signup login comment comments reply replies disqus discussion reactions
     share sharing social related recommended recommendations pagination pager toolbar copyright legal disclaimer paywall search form tags
     toc skip hidden""".split())
+#: Of a compound name, parts that say only where or what kind of box; a name is furniture if all its parts are of these and WORDS.
+PLACES = frozenset("""area bar block bottom box button buttons container global left link links list main menu page panel posts primary
+    right secondary section site slot top widget wrap wrapper""".split())
+#: Names that are furniture however long it is; they stay only where no other text is.
+CERTAIN = frozenset("""ad ads adv advert advertisement advertising adbox adslot sponsor sponsored promo promotion cookie cookies consent gdpr
+    newsletter breadcrumb breadcrumbs pagination pager comment comments reply replies disqus discussion reactions""".split())
+SOURCES = re.compile(r"""\b(sources?|references?|footnotes?|endnotes?|notes|bibliograph\w*|citations?|further reading|works cited|quellen\w*|literatur\w*|
+    einzelnachweise|fuentes|referencias|bibliograf\w*|références?|källor)\b""", re.I | re.X)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PROSE = HEADINGS | {"p", "blockquote", "dd", "figcaption"}
 #: An open element of the first kind ends where one of the second begins.
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"},
             "th": {"td", "th", "tr"}, "option": {"option"}, "thead": {"tbody", "tfoot"}, "tbody": {"tbody", "tfoot"}}
 
 
 class Element:
-    __slots__ = ("name", "label", "parent", "out", "article", "weight")
+    __slots__ = ("name", "label", "parent", "out", "article", "weight", "named")
 
-    def __init__(self, name: str, label: str, parent: Element | None, out: bool) -> None:
-        self.name, self.label, self.parent, self.weight = name, label, parent, 0
+    def __init__(self, name: str, label: str, parent: Element | None, out: bool, named: str = "") -> None:
+        self.name, self.label, self.parent, self.weight, self.named = name, label, parent, 0, named
         self.article = name in ("article", "main") or bool(parent and parent.article)
         self.out = out or bool(parent and parent.out)
 
@@ -67,17 +80,26 @@ class Node:
         self.element, self.path, self.parts, self.linked = element, tuple(path), [], 0
 
 
-def _furniture(name: str, attributes: str, inside: bool) -> tuple[bool, str]:
-    """Whether the element is furniture, and its name in paths."""
-    label = name
+def _furniture_name(value: str) -> str:
+    """The first whole name of a class or id that is one of furniture."""
+    for token in value.split():
+        parts = {x for x in re.split(r"[_-]+", token) if x}
+        if token in WORDS or (parts & WORDS and parts <= WORDS | PLACES):
+            return token
+    return ""
+
+
+def _furniture(name: str, attributes: str, inside: bool) -> tuple[bool, str, str]:
+    """Whether the element is furniture by itself, its name in paths, and the class or id that calls it furniture."""
+    label, named = name, ""
     out = name in FURNITURE and not (inside and name in ("header", "figure"))
     if attributes:
         for key, value in _NAME.findall(attributes):
             key, value = key.lower(), value.strip("\"'").lower()
             if key in ("class", "id"):
                 label = f"{label}.{value.split()[0]}" if value.split() and "." not in label else label
-                words = set(re.split(r"[\s_-]+", value))
-                out |= bool(words & WORDS) and name not in ("html", "body", "article", "main")
+                if not named and name not in ("html", "body", "article", "main"):
+                    named = _furniture_name(value)
             elif key == "role":
                 out |= value in ROLES
             elif key == "style":
@@ -86,11 +108,11 @@ def _furniture(name: str, attributes: str, inside: bool) -> tuple[bool, str]:
                 out |= value == "true"
             elif key == "hidden":
                 out = True
-    return out, label
+    return out, label, named
 
 
 def nodes_of(page: str) -> list[Node]:
-    """Text nodes by block, in page order, furniture left out."""
+    """Text nodes by block, in page order; furniture by element, role or style is left out."""
     root = here = Element("#", "#", None, False)
     links, nodes, node, place = 0, [], None, 0
     while m := _TAG.match(page, place):
@@ -114,15 +136,15 @@ def nodes_of(page: str) -> list[Node]:
                 node.parts.append(" ")
             continue
         if name in INLINE:
-            out = False
+            out, named = False, ""
             if name == "a":
                 links = 0 if closing else 1
             elif not closing and attributes:
-                out, _ = _furniture(name, attributes, here.article)
-            if out and name not in VOID:  # a hidden or foreign part of a line stands as an element of its own
+                out, _, named = _furniture(name, attributes, here.article)
+            if (out or named) and name not in VOID:  # a hidden or foreign part of a line stands as an element of its own
                 if node is not None:
                     nodes.append(node)
-                here, node = Element(name, name, here, True), None
+                here, node = Element(name, name, here, out, named), None
             elif closing and here.name == name:
                 here = here.parent
             continue
@@ -146,8 +168,8 @@ def nodes_of(page: str) -> list[Node]:
             while here is not root and name in ENDED_BY.get(here.name, ()):
                 here = here.parent
         links = 0
-        out, label = _furniture(name, attributes, here.article)
-        here = Element(name, label, here, out)
+        out, label, named = _furniture(name, attributes, here.article)
+        here = Element(name, label, here, out, named)
     if node is not None:
         nodes.append(node)
     kept = []
@@ -191,9 +213,51 @@ def _content(nodes: list[Node]) -> list[Node]:
     return [n for n in nodes if scores[n.path] >= limit]
 
 
+def _without_named(nodes: list[Node]) -> list[Node]:
+    """Without what a class or id calls furniture, unless that holds most of the page's scored text, or all of it if the name is certain."""
+    under: list[list[Element]] = []
+    for n in nodes:
+        at, found = n.element, []
+        while at is not None:
+            if at.named:
+                found.append(at)
+            at = at.parent
+        under.append(found)
+    if not any(under):
+        return nodes
+    above = dict(zip(map(id, nodes), under, strict=True))
+    content = _content(nodes)
+    whole, held = sum(len(n.text) for n in content), {}
+    for n in content:
+        for e in above[id(n)]:
+            held[e] = held.get(e, 0) + len(n.text)
+
+    def stays(e: Element) -> bool:
+        certain = bool(CERTAIN & set(re.split(r"[_-]+", e.named)))
+        return held.get(e, 0) >= whole if certain else 2 * held.get(e, 0) > whole
+
+    return [n for n, elements in zip(nodes, under, strict=True) if all(map(stays, elements))] or nodes
+
+
+def _keeps_links(nodes: list[Node], box: Element) -> set[int]:
+    """Places of mostly linked nodes that are a heading, a paragraph or a source list of the content element."""
+    kept, sources = set(), False
+    for i, n in enumerate(nodes):
+        at, names, labelled = n.element, set(), False
+        while at is not None and at is not box.parent:
+            names.add(at.name)
+            labelled |= bool(SOURCES.search(at.label.partition(".")[2].replace("-", " ").replace("_", " ")))
+            at = at.parent
+        if names & HEADINGS:
+            sources = bool(SOURCES.search(n.text))
+        if names & PROSE or "ol" in names or labelled or (sources and names & {"li", "td"}):
+            kept.add(i)
+    return kept
+
+
 def main_text(page: str) -> str:
     """The article's blocks joined by an empty line; empty if there is none."""
-    nodes = nodes_of(page)
+    nodes = _without_named(nodes_of(page))
     if not nodes:
         return ""
     content = _content(nodes)
@@ -225,8 +289,9 @@ def main_text(page: str) -> str:
             if box.weight >= HOLDS * own[at]:
                 best = at
         box = best
-    chosen = [n for n in nodes if _within(n.element, box) and n.linked < LINKED * len(n.text)]
-    return "\n\n".join(n.text for n in chosen)
+    chosen = [n for n in nodes if _within(n.element, box)]
+    kept = _keeps_links(chosen, box) if any(n.linked >= LINKED * len(n.text) for n in chosen) else ()
+    return "\n\n".join(n.text for i, n in enumerate(chosen) if n.linked < LINKED * len(n.text) or i in kept)
 
 
 def _depth(element: Element) -> int:

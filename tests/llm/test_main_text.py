@@ -33,3 +33,24 @@ def test_scores_decide_within_main():
     teasers = "".join(f"<div class=item><h4>Item {i}</h4><span>Some more words of item number {i} without any end and so forth</span></div>" for i in range(12))
     page = f"<body><main><div class=story><h1>Head</h1>{text}</div><div class=grid>{teasers}</div></main></body>"
     assert extract.main_text(page) == "\n\n".join(["Head", *LONG])
+
+
+@pytest.mark.parametrize("name", ["class='content has-sidebar'", "class=no-sidebar", "class='page-header-fixed'", "id='social-article'", "class=widget", "id=comments"])
+def test_wrappers_with_a_word_of_furniture(name):
+    text = "".join(f"<p>{x}</p>" for x in LONG)
+    page = f"<body><div {name}><h1>Head</h1>{text}<div class='main-sidebar'><p>Aside, here.</p></div></div></body>"
+    assert extract.main_text(page) == "\n\n".join(["Head", *LONG])
+
+
+def test_names_of_furniture_beside_the_text():
+    text = "".join(f"<p>{x}</p>" for x in LONG[:2])
+    talk = "".join(f"<p>{x}</p>" for x in LONG[1:] * 2)
+    page = f"<body><div class=story><h1>Head</h1>{text}<div class='ad-slot top'><p>Buy, now.</p></div></div><div id='comment-list'>{talk}</div><div class=site-footer><p>{LONG[3]}</p></div></body>"
+    assert extract.main_text(page) == "\n\n".join(["Head", *LONG[:2]])
+
+
+def test_linked_blocks_of_the_article():
+    menu = "".join(f"<li><a href='/{i}'>Number {i}</a></li>" for i in range(4))
+    page = (f"<body><article><h1><a href=/>Head</a></h1><p>{LONG[0]}</p><ul>{menu}</ul><p><a href=x>A linked sentence, all of it.</a></p><p>{LONG[1]}</p>"
+            "<h2>Sources</h2><ul><li><a href=s>First source</a></li><li><a href=t>Second source</a></li></ul></article></body>")
+    assert extract.main_text(page) == "\n\n".join(["Head", LONG[0], "A linked sentence, all of it.", LONG[1], "Sources", "First source", "Second source"])
