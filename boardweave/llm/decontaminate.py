@@ -4,7 +4,7 @@ An item of m characters may differ by k = m // PIECE - 1 edits. Cut into k + 1
 pieces, one piece at least is then intact. All pieces of a block of items stand
 in one Aho-Corasick automaton, which reads each text once; around each hit
 Myers' bit-parallel distance verifies the item. Case and runs of white space
-do not count.
+do not count. Items under ``LEAST`` characters match exactly, between word edges.
 
 Items come in blocks of a stated size, each sent to the tasks by itself: the
 documents are read once for each block, and a benchmark of any size keeps tasks
@@ -13,6 +13,8 @@ and driver within bounds. No document moves.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache, reduce
 
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from boardweave.llm.batches import slices, unused
 
 PIECE = 16
-LEAST = 25  # items of fewer characters are phrases that any text may hold; they are not searched
+LEAST = 25  # items of fewer characters may stand in any longer word; they match only between word edges
 BLOCK_CHARS = 2_000_000
 
 
@@ -39,6 +41,22 @@ def pieces(text: str) -> list[tuple[int, str]]:
     return [(a, text[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+#: Letters of scripts that are written without spaces have an edge on either side.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+def _letter(c: str) -> bool:
+    return c.isalnum() or bool(unicodedata.combining(c))
+
+
+def edge(text: str, place: int) -> bool:
+    """Whether no word goes on over this place of the text."""
+    if not 0 < place < len(text):
+        return True
+    a, b = text[place - 1], text[place]
+    return not (_letter(a) and _letter(b)) or (not unicodedata.combining(b) and bool(_UNSPACED.match(a) or _UNSPACED.match(b)))
+
+
 class Pattern:
     """Myers' bit vectors of one item."""
 
@@ -68,7 +86,7 @@ class Pattern:
 
 class Items:
     def __init__(self, items: tuple[tuple[int | None, str], ...]) -> None:
-        self.items = [(i, t) for i, t in ((i, normal(t)) for i, t in items) if len(t) >= LEAST]
+        self.items = [(i, t) for i, t in ((i, normal(t)) for i, t in items) if t]
         self.forward = [Pattern(t) for _, t in self.items]
         self.backward = [Pattern(t[::-1]) for _, t in self.items]
         self.budget = [max(1, len(t) // PIECE) - 1 for _, t in self.items]
@@ -93,6 +111,10 @@ class Items:
             for k, at in where:
                 budget, length = self.budget[k], len(self.items[k][1])
                 origin = last + 1 - size - at
+                if length < LEAST:
+                    if k not in found and edge(text, origin) and edge(text, last + 1):
+                        found[k] = (0, origin, last + 1)
+                    continue
                 if origin in seen.setdefault(k, set()):
                     continue  # another piece of this item has had the same window
                 seen[k].add(origin)
