@@ -8,7 +8,8 @@ do not count. Items under ``LEAST`` characters match exactly, between word edges
 
 Items come in blocks of a stated size, each sent to the tasks by itself: the
 documents are read once for each block, and a benchmark of any size keeps tasks
-and driver within bounds. No document moves.
+and driver within bounds: of several blocks each one's result is written before
+the next is fetched. With one block no document moves.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from boardweave.llm.batches import slices, unused
+from boardweave.llm.batches import slices, unused, written
 
 PIECE = 16
 LEAST = 25  # items of fewer characters may stand in any longer word; they match only between word edges
@@ -128,7 +129,7 @@ class Items:
         return [(k, *match) for k, match in sorted(found.items())]
 
 
-@lru_cache(4)
+@lru_cache(1)
 def _items(items: tuple[tuple[int | None, str], ...]) -> Items:
     return Items(items)
 
@@ -147,13 +148,19 @@ def original_places(text: str) -> list[int]:
     return [*places, (places[-1] + 1 if places else 0)]
 
 
-def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[tuple[tuple[int | None, str], ...]]:
-    """The items in blocks of about ``block_chars`` characters; fetched one at a time by the caller's loop."""
+def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[int, Iterator[tuple[tuple[int | None, str], ...]]]:
+    """The number of blocks of about ``block_chars`` characters, and the items of each; a block is fetched when it is asked for."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null").distinct()
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-total // block_chars) or 1
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
-    return [tuple(sorted(((r["item_id"], r["text"]) for r in rows.where(F.col("block") == b).collect()), key=str)) for b in range(n)]
+    if n > 1:
+        rows = written(rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))), "items")
+
+    def block(b: int) -> tuple[tuple[int | None, str], ...]:
+        own = rows.where(F.col("block") == b) if n > 1 else rows
+        return tuple(sorted(((r["item_id"], r["text"]) for r in own.collect()), key=str))
+
+    return n, map(block, range(n))
 
 
 def _matches_in(items: tuple[tuple[int | None, str], ...]):
@@ -178,16 +185,25 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, block_chars: int =
     null items match nothing; an item that stands twice is searched once.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = [rows.mapInArrow(_matches_in(b), "doc_id long, item_id long, distance long, start long, end long") for b in item_blocks(benchmark, block_chars)]
-    return reduce(DataFrame.unionByName, found)
+    n, blocks = item_blocks(benchmark, block_chars)
+    found = (rows.mapInArrow(_matches_in(b), "doc_id long, item_id long, distance long, start long, end long") for b in blocks)
+    if n == 1:
+        return next(found)
+    return reduce(DataFrame.unionByName, (written(f, "matches") for f in found))
 
 
 def without_matches(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents, all columns kept, in which no item of the benchmark stands."""
-    clean = unused(docs.columns, "clean")
-    for items in item_blocks(benchmark, block_chars):
-        docs = docs.withColumn(clean, _is_clean(items)("text")).where(F.col(clean)).drop(clean)
-    return docs
+    n, blocks = item_blocks(benchmark, block_chars)
+    if n == 1:
+        clean = unused(docs.columns, "clean")
+        return docs.withColumn(clean, _is_clean(next(blocks))("text")).where(F.col(clean)).drop(clean)
+    # A text decides alone: each block's are written as two hashes before the next block is fetched.
+    one, two = unused(docs.columns, "gone1"), unused(docs.columns, "gone2")
+    hashes = F.xxhash64("text"), F.xxhash64(F.lit(1), "text")
+    gone = (written(docs.select(hashes[0].alias(one), hashes[1].alias(two), "text").where(~_is_clean(b)("text")).select(one, two).distinct(), "unclean")
+            for b in blocks)
+    return docs.join(reduce(DataFrame.unionByName, gone), (hashes[0] == F.col(one)) & (hashes[1] == F.col(two)), "left_anti")
 
 
 def _is_clean(items: tuple[tuple[int | None, str], ...]):
