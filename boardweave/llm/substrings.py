@@ -22,10 +22,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from boardweave.llm.batches import (
-    SLICE_BYTES, Words, id_of, joined_hashes, mixed, order_id, slices, starts_within, window_hashes,
+    NO_ID, SLICE_BYTES, Words, id_of, joined_hashes, mixed, order_id, slices, starts_within, window_hashes,
     word_hashes, words_of, written)
 
 LENGTH = 13
@@ -155,7 +155,7 @@ def _survivors(last_level: bool):
             new = np.r_[before is None or (h[0], tag[0]) != before[:2], (h[1:] != h[:-1]) | (tag[1:] != tag[:-1])]
             group = np.cumsum(new) - (1 if new[0] else 0)  # group 0 may go on from the batch before
             cut = np.flatnonzero(new)
-            first = np.r_[[] if new[0] else [before[2]], ids[cut]].astype(np.int64)
+            first = np.concatenate([np.array([] if new[0] else [before[2]], np.int64), ids[cut]])
             if last_level:
                 later = ids > first[group]
                 yield out(ids[later], spot[later])
@@ -263,14 +263,30 @@ def repeated_word_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return rows.select(id_of().alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+def _ordered(base: DataFrame) -> DataFrame:
+    """The rows with an id of their own each."""
+    shared = written(base.groupBy(F.col("id").alias("shared_id")).count().where("count > 1").select("shared_id"), "shared")
+    if shared.isEmpty():
+        return base
+    same = F.col("id") == F.col("shared_id")
+    # Rows equal in id and text are interchangeable: their numbers may be dealt in any order.
+    again = base.join(shared, same, "left_semi").withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("text"))))
+    moved = F.shiftrightunsigned(F.xxhash64("id", "text", "k"), 2) + F.lit(NO_ID)
+    again = again.select(F.when(F.col("k") == 1, F.col("id")).otherwise(moved).alias("id"), *[c for c in base.columns if c != "id"])
+    return base.join(shared, same, "left_anti").unionByName(written(again, "again"))
+
+
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents, all columns kept, without repeated words.
 
     A text that loses none is unchanged, of others the kept words are joined by
     one space; n_chars, if there, follows. Documents that lose every word go.
+    Rows that share an order are sources too: the first by text hash keeps its
+    place, the others follow among the rows without id.
     """
     others = [F.col(c) for c in docs.columns if c != "text"]
     base = docs.select(order_id().alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.struct(*others).alias("row"))
+    base = _ordered(base)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, found in _kept(batches, length):

@@ -89,3 +89,26 @@ def test_stage_keeps_one_of_each_group_of_the_small_table(llm):
         least[group] = min(doc, least.get(group, doc))
     stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
     assert sorted(r.doc_id for r in stage(llm, docs, "").select("doc_id").collect()) == sorted(least.values())
+
+
+def test_stage_keeps_one_of_rows_without_id_and_of_repeated_rows(llm, odd):
+    import corpus_pipeline
+
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    long = " ".join(f"w{i}" for i in range(50))
+    rows = [(None, long, "a"), (None, long, "b"), (None, long, "b"), (7, "x y z", "a"), (7, "x y z", "a"), (7, "x y z", "a"), (8, "X  y z", "a"), (9, "p q", "a"), (9, "r s", "a"),
+            (1, long + " end of it", "c")]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    assert sorted(map(tuple, stage(llm, docs, "").collect())) == [(1, long + " end of it", "c"), (7, "x y z", "a"), (9, "p q", "a"), (9, "r s", "a")]
+    nulls = llm.createDataFrame(rows[:3], docs.schema)
+    assert stage(llm, nulls, "").count() == 1
+    assert stage(llm, odd, "").count() == len(set(jaccard_groups([t for _, t in ODD])))
+
+
+def test_rows_that_share_an_id_are_sources_for_each_other(llm):
+    from boardweave.llm import substrings
+
+    shared = " ".join(f"w{i}" for i in range(20))
+    docs = llm.createDataFrame([(1, "a b " + shared), (1, shared + " c d"), (None, shared), (None, shared), (2, "e f g")], "doc_id long, text string").repartition(3)
+    kept = sorted(r.text for r in substrings.without_repeats(docs).collect())
+    assert kept in (sorted(["a b " + shared, "c d", "e f g"]), sorted(["a b", shared + " c d", "e f g"]))
