@@ -1,18 +1,23 @@
-"""Groups of documents by the true similarity of their shingle sets, none missed.
-
-Two sets of a and b shingles with a Jaccard similarity of at least 0.8 differ
-in (a + b) / 9 shingles at most. Dealt by hash into more parts than that, they
-have a part in common that is equal and not empty: its hash is a key of both.
-Sizes form classes a quarter wide; a set has the parts of its own class and of
-the next smaller one, hence every pair within reach meets at one number of
-parts. A set that leaves too many parts empty for the argument is dealt into
-twice as many as well, until enough are full; of two such sets the one with
-fewer rounds carries the proof.
-
-Equal sets are one node. In a bucket of equal keys only neighbours by node are
-verified first. Then pairs of a bucket that no links connect yet are verified
-too, so that the groups are those of all pairs, while a large group of copies
-costs its length and not its square.
+"""Groups of documents by the true similarity of their sets of five-word shingles.
+
+The keys are those of Golay-code fuzzy hashing, as in ``simhash``, for a wider
+budget of errors. A text's fingerprint has 256 bits, the signs of the sums of
+its shingles' hashes; at a Jaccard similarity of 0.8 about 39 of them differ.
+Pigeonhole: some of its ``SEGMENTS`` segments of 23 bits then has few errors,
+and two segments with two errors or less always have the index of a codeword in
+common, with three or four errors about every second time. Such an index has
+12 bits only. A key joins it with the least of the shingles' hashes in an order
+of the segment's own, which two sets have in common as often as their
+similarity says; hence unlike texts do not meet, however many there are.
+
+Pairs that meet are compared by size and by all 256 bits, and the sets of those
+that may be alike are compared exactly. Equal sets are one node throughout.
+
+Of a bucket of equal keys all nodes are first compared with the least one: a
+join and not a window, so that a hot bucket is split. Buckets whose nodes are in
+one class by then are done. The others are searched for pairs of different
+classes, in blocks of bounded size: once for a forest of pairs, then for all
+pairs that are left. What leaves a bucket is likely alike, and is verified.
 """
 
 from __future__ import annotations
@@ -21,24 +26,21 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from boardweave.llm.batches import (mixed, run_hashes, slices, starts_within, unused, window_hashes, words_of, written)
+from boardweave.llm.batches import (ODD, mixed, run_hashes, slices, starts_within, unused, window_hashes, words_of, written)
 from boardweave.llm.components import components
+from boardweave.llm.simhash import nearby_indices
 
 SHINGLE = 5
-LEAST = (4, 5)  # the least similarity; class widths and bounds below follow from it
-
-
-def _classes(top: int = 1 << 40) -> np.ndarray:
-    """Least sizes of the classes: five quarters of a size never reach the class after the next."""
-    edges = [1]
-    while edges[-1] < top:
-        edges.append(max(edges[-1] + 1, 5 * (edges[-1] - 1) // 4 + 1))
-    return np.array(edges, np.int64)
-
-
-_EDGES = _classes()
+LEAST = (4, 5)  # the least similarity
+SEGMENTS, SEGMENT, PARTS = 10, 23, 4  # segments of a fingerprint, bits of each, and 64-bit parts
+#: Differing bits of 256 that pairs within the least similarity do not exceed: 39 are expected, 48 of the smallest sets, with a deviation of 6.
+MOST_BITS = 76
+BLOCK = 1 << 11  # nodes of a bucket that are compared with each other at once
+FEW = 1 << 20  # rows of longs that are small enough for every executor
+_PRINT = [f"f{i}" for i in range(PARTS)]
+_ANCHOR = [f"a{i}" for i in range(SEGMENTS)]
 
 
 def shingle_sets(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,56 +72,67 @@ def nodes_of(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.where(sizes > 0, mixed((sums[first[1:]] - sums[first[:-1]]) ^ mixed(sizes.astype(np.uint64))), 0).astype(np.uint64)
 
 
-def part_keys(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sets and the keys they have."""
+def _stamped(hashes: np.ndarray, number: int) -> np.ndarray:
+    """Another hash of each shingle, for each number."""
+    return mixed(hashes ^ mixed(np.array([number + 1], np.uint64) * ODD))
+
+
+def prints_of(hashes: np.ndarray, first: np.ndarray, block: int = 1 << 17) -> np.ndarray:
+    """A row of ``PARTS`` 64-bit parts for each set: a bit is 1 if over half of the shingles' hashes have it."""
     sizes = np.diff(first)
-    own = np.searchsorted(_EDGES, sizes, "right") - 1
-    sets, keys = [], []
-    for lower in (0, 1):
-        level = own - lower
-        ends = _EDGES[np.maximum(level, 0) + 1]
-        # The most shingles that differ from a set met at this level: as the smaller or an equal one, or as the larger one.
-        partner = np.minimum(5 * sizes // 4, _EDGES[np.maximum(level, 0) + 2] - 1) if not lower else ends - 1
-        most = (sizes + partner) // 9
-        most_of_level = (9 * (ends - 1) // 4) // 9
-        parts = most_of_level + 1 + (most_of_level + 31) // 32
-        left = np.flatnonzero((sizes > 0) & (level >= 0))
-        for turn in range(64):
-            if not len(left):
-                break
-            count = parts[left] << turn
-            begin = np.cumsum(count) - count
-            n = sizes[left]
-            within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            h = hashes[within + np.repeat(first[:-1][left], n)]
-            # The upper 32 bits choose the part, all bits enter its hash.
-            part = ((h >> np.uint64(32)) * np.repeat(count, n).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-            sums = np.zeros(int(count.sum()), np.uint64)
-            np.add.at(sums, np.repeat(begin, n) + part, mixed(h + np.uint64(1)))
-            full = np.flatnonzero(sums)
-            of = np.searchsorted(begin, full, "right") - 1
-            stamp = mixed((level[left][of].astype(np.uint64) << np.uint64(40)) ^ (np.uint64(turn) << np.uint64(34)) ^ (full - begin[of]).astype(np.uint64))
-            sets.append(left[of])
-            keys.append(mixed(sums[full] ^ stamp))
-            left = left[np.bincount(of, minlength=len(left)) <= most[left]]
-    return (np.concatenate(sets), np.concatenate(keys)) if sets else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
-
-
-def _nodes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ones = np.zeros((len(sizes), 64 * PARTS), np.int64)
+    for begin in range(0, len(hashes), block):  # a long text takes several blocks
+        part = hashes[begin : begin + block]
+        sets = np.searchsorted(first, np.arange(begin, begin + len(part)), "right") - 1
+        cut = np.flatnonzero(np.r_[True, sets[1:] != sets[:-1]])
+        for i in range(PARTS):
+            bits = np.unpackbits(_stamped(part, i).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones[sets[cut], 64 * i : 64 * (i + 1)] += np.add.reduceat(bits, cut, axis=0, dtype=np.int32)
+    return np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little").view(np.uint64).reshape(len(sizes), PARTS)
+
+
+def anchors_of(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each set and segment, the least hash in the segment's order; 0 for the empty set."""
+    full = np.flatnonzero(np.diff(first))
+    found = np.zeros((len(first) - 1, SEGMENTS), np.uint64)
+    if len(full):
+        for i in range(SEGMENTS):
+            found[full, i] = np.minimum.reduceat(_stamped(hashes, PARTS + i), first[full])
+    return found
+
+
+def keys_of(prints: np.ndarray, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows, and the keys they have: indices of the codewords near each segment, each with the segment's anchor."""
+    bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8), axis=1, bitorder="little")
+    rows, keys = [], []
+    for i in range(SEGMENTS):
+        received = bits[:, SEGMENT * i : SEGMENT * (i + 1)].astype(np.int64) @ (1 << np.arange(SEGMENT, dtype=np.int64))
+        found = nearby_indices(received)
+        row, column = np.nonzero(found >= 0)
+        rows.append(row)
+        keys.append(mixed(anchors[row, i] ^ mixed((found[row, column] << 8 | i).astype(np.uint64))))
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def _marked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in slices(batches):
-        found = nodes_of(*shingle_sets(piece.column("text")))
+        hashes, first = shingle_sets(piece.column("text"))
+        prints, anchors = prints_of(hashes, first).view(np.int64), anchors_of(hashes, first).view(np.int64)
         rest = [c for c in piece.schema.names if c != "text"]
-        yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in rest), pa.array(found.view(np.int64))], [*rest, "node"])
+        found = [nodes_of(hashes, first).view(np.int64), np.diff(first), *prints.T, *anchors.T]
+        yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in rest), *(pa.array(x) for x in found)], [*rest, "node", "size", *_PRINT, *_ANCHOR])
+
+
+def _columns(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
+    return np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names], axis=1).view(np.uint64)
 
 
 def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece in slices(batches):
-        hashes, first = shingle_sets(piece.column("text"))
-        of, keys = part_keys(hashes, first)
-        nodes = nodes_of(hashes, first).view(np.int64)[of]
-        for begin in range(0, len(keys), 1 << 16):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[begin : begin + (1 << 16)]) for x in (keys.view(np.int64), nodes)], ["key", "node"])
+    for batch in batches:
+        for begin in range(0, len(batch), 2048):
+            part = batch.slice(begin, 2048)
+            rows, keys = keys_of(_columns(part, _PRINT), _columns(part, _ANCHOR))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(part.column("node").to_numpy(zero_copy_only=False)[rows])], ["key", "node"])
 
 
 def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,44 +142,151 @@ def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes_of(hashes, first).view(np.int64)), values], ["node", "shingles"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sets are alike."""
-    a = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
-    b = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    size = F.size("a") + F.size("b")
-    both = pairs.join(a, "u").where(F.col("a").isNotNull()).join(b, "v").select("u", "v", size.alias("n"), F.size(F.array_intersect("a", "b")).alias("both"))
-    return both.where(F.col("both") * (LEAST[0] + LEAST[1]) >= F.col("n") * LEAST[0]).select("u", "v")
-
-
-def links(docs: DataFrame) -> DataFrame:
-    """(u, v): nodes of texts, linked so that all pairs of a Jaccard similarity of 0.8 or more are connected."""
-    keyed = docs.select("text").mapInArrow(_keyed, "key long, node long")
-    before = F.lag("node").over(Window.partitionBy("key").orderBy("node"))
-    chain = written(keyed.withColumn("u", before).where("u != node").select("key", "u", F.col("node").alias("v")), "chain")
-    near = written(chain.select("u", "v").distinct(), "pairs")
-    # Sets of the nodes that stand in a bucket with another; one text of each.
-    wanted = near.select(F.col("u").alias("w")).union(near.select("v")).distinct()
-    held = docs.select("text").mapInArrow(_sets, "node long, shingles array<long>")
-    held = held.join(wanted, F.col("node") == F.col("w"), "left_semi")
-    sets = written(held.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
-    first = written(_verified(near, sets), "alike")
-    member = chain.select("key", F.col("u").alias("node")).union(chain.select("key", "v")).distinct()
-    found = components(first).select(F.col("node").alias("w"), "root")
-    member = member.join(found, F.col("node") == F.col("w"), "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    apart = member.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-    member = written(member.join(apart, "key", "left_semi"), "apart")
-    other = member.select("key", F.col("node").alias("v"), F.col("root").alias("other"))
-    rest = member.withColumnRenamed("node", "u").join(other, "key").where("u < v and root != other").select("u", "v").distinct()
-    rest = written(rest.join(near, ["u", "v"], "left_anti"), "rest")
-    return first.union(_verified(rest, sets))
+def few(df: DataFrame) -> DataFrame:
+    """For a join: sent to every executor if it is small, dealt out by its key otherwise."""
+    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df
+
+
+def _again(name: str):
+    """The column as an expression: a join then deals this side anew, and may split the other where a key is hot."""
+    return F.bitwise_not(F.bitwise_not(name))
+
+
+def _sizes_fit(a: str, b: str):
+    return F.greatest(a, b) * LEAST[0] <= F.least(a, b) * LEAST[1]
+
+
+def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (u, v) that sizes and fingerprints allow to be alike."""
+    out = pairs
+    for end in "uv":
+        own = nodes.select(_again("node").alias(f"w{end}"), F.col("size").alias(f"n{end}"), *[F.col(c).alias(c + end) for c in _PRINT])
+        out = out.join(own, F.col(end) == F.col(f"w{end}"))
+    differ = sum((F.bit_count(F.col(c + "u").bitwiseXOR(F.col(c + "v"))) for c in _PRINT), F.lit(0))
+    return out.where(_sizes_fit("nu", "nv") & (differ <= MOST_BITS)).select("u", "v")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose sets are alike. Sets are made of one row of each node that is in a pair."""
+    wanted = pairs.select(F.col("u").alias("w")).union(pairs.select("v")).distinct()
+    shown = written(nodes.join(wanted, F.col("node") == F.col("w"), "left_semi").select(F.col("shown").alias("shown_row")), "shown")
+    texts = docs.join(few(shown), F.col("row") == F.col("shown_row"), "left_semi").select("text")
+    sets = written(texts.mapInArrow(_sets, "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
+    a = sets.select(_again("node").alias("wu"), F.col("shingles").alias("a"))
+    b = sets.select(F.col("node").alias("wv"), F.col("shingles").alias("b"))
+    both = pairs.join(b, F.col("v") == F.col("wv")).join(a, F.col("u") == F.col("wu"))
+    both = both.select("u", "v", (F.size("a") + F.size("b")).alias("n"), F.size(F.array_intersect("a", "b")).alias("both"))
+    return written(both.where(F.col("both") * sum(LEAST) >= F.col("n") * LEAST[0]).select("u", "v"), "alike")
+
+
+def _apart(members: DataFrame, found: DataFrame | None) -> DataFrame:
+    """(key, node, root) of the buckets whose nodes are in several classes."""
+    if found is not None:
+        found = found.select(_again("node").alias("w"), F.col("root").alias("class"))
+        members = members.join(found, F.col("node") == F.col("w"), "left").select("key", "node", F.coalesce("class", "node").alias("root"))
+    several = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(_again("key").alias("k"), "low")
+    return members.join(several, F.col("key") == F.col("k")).drop("k")
+
+
+def _within(every: bool):
+    """Over rows sorted by (cell, side): pairs of nodes of different classes that sizes and bits allow; a forest of them, or every one.
+
+    Nodes of side 0 meet each other, or, if the cell has nodes of side 1, those.
+    """
+
+    def pairs(root: np.ndarray, node: np.ndarray, size: np.ndarray, prints: np.ndarray, side: np.ndarray) -> Iterator[pa.RecordBatch]:
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        own = not len(right)
+        right = left if own else right
+        tree = root.copy()
+        for k, i in enumerate(left):
+            other = right[k + 1 :] if own else right
+            other = other[tree[other] != tree[i]]
+            other = other[(LEAST[0] * np.maximum(size[other], size[i]) <= LEAST[1] * np.minimum(size[other], size[i]))]
+            other = other[np.bitwise_count(prints[other] ^ prints[i]).sum(axis=1) <= MOST_BITS]
+            if not len(other):
+                continue
+            if not every:  # one pair joins each class to this one
+                _, at = np.unique(tree[other], return_index=True)
+                other = other[at]
+                tree[np.isin(tree, tree[other])] = tree[i]
+            low, high = np.minimum(node[other], node[i]), np.maximum(node[other], node[i])
+            yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["u", "v"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []  # of the cell that the next batch may go on with; a cell has 2 * BLOCK rows at most
+        names = ["cell", "root", "node", "size", "side"]
+        for batch in batches:
+            if not len(batch):
+                continue
+            cell, *rest = (batch.column(c).to_numpy(zero_copy_only=False) for c in names)
+            rest.append(_columns(batch, _PRINT))
+            cut = np.r_[np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]), len(cell)]
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                if held and held[-1][0] != cell[a]:
+                    yield from closed(held)
+                    held = []
+                held.append((cell[a], *(x[a:b] for x in rest)))
+        if held:
+            yield from closed(held)
+
+    def closed(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        root, node, size, side, prints = (np.concatenate(x) for x in [*zip(*held, strict=True)][1:])
+        yield from pairs(root, node, size, prints, side)
+
+    return run
+
+
+def _met(apart: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
+    """Likely pairs (u, v) of different classes within the buckets. A bucket's nodes are dealt into blocks of about half of ``BLOCK``."""
+    many = apart.groupBy("key").agg(F.ceil(F.count("*") / (BLOCK // 2)).cast("long").alias("blocks")).select(_again("key").alias("k"), "blocks")
+    own = nodes.select(_again("node").alias("w"), "size", *_PRINT)
+    rows = apart.join(many, F.col("key") == F.col("k")).join(own, F.col("node") == F.col("w"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")))
+    # Each block meets itself and each other block of its bucket in a cell of its own.
+    rows = rows.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    cell = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
+    rows = rows.select(cell.alias("cell"), "root", "node", F.col("size").cast("long"), (F.col("block") > F.col("other")).cast("long").alias("side"), *_PRINT)
+    return rows.repartition("cell").sortWithinPartitions("cell", "side", "node").mapInArrow(_within(every), "u long, v long").distinct()
+
+
+def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(u, v): nodes linked so that the pairs of a similarity of 0.8 or more that have a key in common are connected.
+
+    ``docs`` has ``row`` and ``text``; ``nodes`` is one row of each distinct set, with ``shown``, the row of a document that has it.
+    """
+    keyed = nodes.where("size > 0").mapInArrow(_keyed, "key long, node long")
+    members = written(_apart(keyed.withColumn("root", F.col("node")), None), "buckets")
+    star = members.where("node != low").select(F.col("low").alias("u"), F.col("node").alias("v")).distinct()
+    tried = written(_likely(star, nodes), "pairs")
+    alike = _verified(tried, docs, nodes)
+    members = members.select("key", "node")
+    for every in (False, True):
+        apart = written(_apart(members, components(alike)).drop("low"), "apart")
+        met = _met(apart, nodes, every)
+        new = written(met.join(tried, ["u", "v"], "left_anti"), "pairs")
+        if new.isEmpty():
+            continue
+        tried, alike = tried.union(new), alike.union(_verified(new, docs, nodes))
+    return alike
 
 
 def groups(docs: DataFrame) -> DataFrame:
-    """Every row with its columns but ``text``, and ``group``: equal for rows that similar texts connect. Texts without words are alike."""
+    """Every row with its columns but ``text``, and ``group``: equal for rows that similar texts connect.
+
+    A column ``row`` of longs identifies rows, and equal rows may share it; without
+    one the hash of the text does. Null texts count as empty; texts without words
+    are alike. Other columns are not read; an empty table has an empty result.
+    """
     rest = unused(docs.columns, "w")
     docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    if "row" not in docs.columns:
+        return groups(docs.withColumn("row", F.xxhash64("text"))).drop("row")
     kept = docs.drop("text")
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "node long"])
-    rows = written(docs.mapInArrow(_nodes, schema), "nodes")
-    found = components(links(docs)).select(F.col("node").alias(rest), F.col("root").alias("root"))
+    added = ["node long", "size long", *[f"{c} long" for c in [*_PRINT, *_ANCHOR]]]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), *added])
+    rows = written(docs.mapInArrow(_marked, schema), "nodes")
+    one = [F.first(c).alias(c) for c in ["size", *_PRINT, *_ANCHOR]]
+    nodes = written(rows.groupBy("node").agg(F.first("row").alias("shown"), *one), "distinct")
+    found = components(links(docs, nodes)).select(_again("node").alias(rest), F.col("root").alias("root"))
     return rows.join(found, F.col("node") == F.col(rest), "left").select(*kept.columns, F.coalesce("root", "node").alias("group"))

@@ -42,17 +42,31 @@ def jaccard_groups(texts):
 
 
 def test_similar_sets_share_a_key():
-    chance = random.Random(5)
-    for n in [*range(1, 80), 200, 1000]:
-        base = [chance.getrandbits(63) for _ in range(n)]
-        for _ in range(20 if n < 80 else 3):
-            lost, new = chance.randint(0, n // 5), chance.randint(0, n // 4)
-            other = base[lost:] + [chance.getrandbits(63) for _ in range(new)]
-            if 5 * (n - lost) < 4 * (n + new):
+    """Of pairs at a similarity of just 0.8, at most one in a hundred has no key in common; unlike sets have none."""
+    chance, met, tried, unlike = random.Random(5), 0, 0, 0
+    for n in [*range(8, 80, 3), 200, 1000]:
+        for _ in range(30):
+            base = [chance.getrandbits(63) for _ in range(n)]
+            lost = n // 5
+            other = base[lost:] if chance.random() < 0.5 else base[lost // 2 :] + [chance.getrandbits(63) for _ in range(max(0, (5 * (n - lost // 2)) // 4 - n))]
+            both = len(set(base) & set(other)) / len(set(base) | set(other))
+            if both < 0.8:
                 continue
-            first = np.array([0, n, n + len(other)])
-            of, keys = similar.part_keys(np.array(sorted(base) + sorted(other), np.uint64), first)
-            assert set(keys[of == 0]) & set(keys[of == 1]), (n, lost, new)
+            sets = [sorted(base), sorted(other), sorted(chance.getrandbits(63) for _ in range(n))]
+            hashes, first = np.array(sum(sets, []), np.uint64), np.cumsum([0, *map(len, sets)])
+            prints = similar.prints_of(hashes, first)
+            of, keys = similar.keys_of(prints, similar.anchors_of(hashes, first))
+            met, tried = met + bool(set(keys[of == 0]) & set(keys[of == 1])), tried + 1
+            unlike += bool(set(keys[of == 0]) & set(keys[of == 2]))
+            assert np.bitwise_count(prints[0] ^ prints[1]).sum() <= similar.MOST_BITS
+    assert tried > 300 and met >= 0.98 * tried and not unlike
+
+
+def test_prints_in_blocks_and_of_empty_sets():
+    hashes, first = similar.shingle_sets(pa.array([t or "" for _, t in ODD], pa.large_string()))
+    assert (similar.prints_of(hashes, first) == similar.prints_of(hashes, first, 7)).all()
+    plain = [sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in similar._stamped(hashes[i:j], 3)) > j - i) for i, j in zip(first, first[1:])]
+    assert similar.prints_of(hashes, first)[:, 3].tolist() == plain
 
 
 def test_sets_are_those_of_plain_shingles():
@@ -79,6 +93,41 @@ def test_chain_of_neighbours_and_bridges(llm):
     assert len(set(zip(want, [got[i] for i in range(len(texts))], strict=True))) == len(set(want)) == len(set(got.values()))
 
 
+def test_bucket_whose_least_node_is_unlike_the_others(llm, monkeypatch):
+    """One key for all: the star around the least node finds little, the blocks of the bucket find the rest."""
+    chance = random.Random(3)
+    texts = []
+    for family in range(5):
+        own = [f"f{family}w{i}" for i in range(60)]
+        for _ in range(9):
+            texts.append(" ".join(own))
+            own = list(own)
+            own[chance.randrange(60)] = f"x{chance.random()}"
+    docs = llm.createDataFrame([(i, t) for i, t in enumerate(texts)], "row long, text string")
+    rows = docs.mapInArrow(similar._marked, "row long, node long, size long, " + ", ".join(f"{c} long" for c in similar._PRINT + similar._ANCHOR))
+    rows = [r.asDict() for r in rows.collect()]
+    nodes = llm.createDataFrame([{**r, "shown": r["row"]} for r in rows])
+    members = llm.createDataFrame([(1, r["node"], r["node"]) for r in rows], "key long, node long, root long")
+    sets = {r["node"]: shingles(texts[r["row"]]) for r in rows}
+
+    def met(every):
+        return {(r.u, r.v) for r in similar._met(similar._apart(members, None), nodes, every).collect()}
+
+    forest, every = met(False), met(True)
+    monkeypatch.setattr(similar, "BLOCK", 8)
+    assert met(True) == every
+    alike = {(a, b) for a in sets for b in sets if a < b and 9 * len(sets[a] & sets[b]) >= 4 * (len(sets[a]) + len(sets[b]))}
+    assert alike <= every and forest <= every and len(sets) == len(forest) + 5
+
+
+def test_stage_takes_maps_and_names_with_dots(llm):
+    import corpus_pipeline
+
+    docs = llm.createDataFrame([(1, "a b", {"k": 1}, 2), (1, "a b", {"k": 1}, 2), (2, "A b", None, 3)], "doc_id long, text string, m map<string,int>, `x.y` long")
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    assert [tuple(r) for r in stage(llm, docs, "").collect()] == [(1, "a b", {"k": 1}, 2)]
+
+
 def test_stage_keeps_one_of_each_group_of_the_small_table(llm):
     import corpus_pipeline
 
