@@ -22,18 +22,20 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows are ordered by id, those without one last, and a hash of all columns; of rows that are equal throughout one stays.
     """
     row, least, many = (unused(docs.columns, c) for c in ("row_hash", "least_row", "times"))
-    all_columns = F.xxhash64(*docs.columns)
-    found = similar.groups((ship(spark) and docs).select(order_id().alias("order"), all_columns.alias("row"), "text"))
+    others = [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns if c not in ("doc_id", "text")]  # as JSON, as maps have no hash
+    docs = (ship(spark) and docs).withColumn(row, F.xxhash64("doc_id", "text", *([F.to_json(F.struct(*others))] if others else [])))
+    found = similar.groups(docs.select(order_id().alias("order"), F.col(row).alias("row"), "text"))
     each = written(found.groupBy("group", "order", "row").agg(F.count("*").alias("n")), "rows")
     first = each.groupBy("group").agg(F.min(F.struct("order", "row")).alias("least"))
     each = written(each.join(first, "group").select("row", "n", (F.struct("order", "row") == F.col("least")).alias("stays")), "kept")
-    gone = each.where("not stays").select(F.col("row").alias(least))
-    kept = docs.withColumn(row, all_columns).join(gone, F.col(row) == F.col(least), "left_anti").drop(row)
+    gone = similar.few(each.where("not stays").select(F.col("row").alias(least)))
+    kept = docs.join(gone, F.col(row) == F.col(least), "left_anti")
     twice = each.where("stays and n > 1").select(F.col("row").alias(many))
-    if twice.isEmpty():
-        return kept
-    again = all_columns == F.col(many)
-    return kept.join(twice, again, "left_anti").unionByName(kept.join(twice, again, "left_semi").dropDuplicates())
+    if not twice.isEmpty():
+        again = F.col(row) == F.col(many)
+        twice = similar.few(twice)
+        kept = kept.join(twice, again, "left_anti").unionByName(kept.join(twice, again, "left_semi").dropDuplicates([row]))
+    return kept.drop(row)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
