@@ -8,9 +8,10 @@ costs no second pass over it.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from boardweave.functions import lookups as L
@@ -20,13 +21,45 @@ METRIC_SCHEMA = ("run_id string, recorded_at timestamp, dataset string, name str
                  "passed_records bigint, failed_records bigint")
 
 
+_QUOTED = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/""", re.DOTALL)
+_CALLED = re.compile(r"([A-Za-z_]\w*)\s*\(")
+
+
+def _beyond_the_row(predicate: str) -> str | None:
+    """What in a predicate looks beyond its row. Aggregates are known to a session only."""
+    bare = _QUOTED.sub(" '' ", predicate)
+    for what, sign in (("a subquery", r"\bselect\b"), ("a window", r"\bover\b\s*(\(|\w)")):
+        if re.search(sign, bare, re.IGNORECASE):
+            return what
+    spark = SparkSession.getActiveSession()
+    for name in dict.fromkeys(_CALLED.findall(bare)) if spark else ():
+        if spark.catalog.functionExists(name):
+            made_by = spark.catalog.getFunction(name).className or ""
+            if ".expressions.aggregate." in made_by or made_by.rpartition(".")[2] in _RANKS:
+                return f"the aggregate or window function {name}"
+    return None
+
+
+#: Classes of the functions that number or compare the rows of a window.
+_RANKS = ("RowNumber", "Rank", "DenseRank", "PercentRank", "CumeDist", "NTile", "Lag", "Lead", "NthValue")
+
+
 @dataclass(frozen=True)
 class Rule:
+    """A predicate over one row. One that looks at other rows is refused: when it is
+    declared, or, for aggregates of a rule declared before there is a session, when it is first used."""
+
     name: str
     predicate: str
     policy: str = WARN
 
+    def __post_init__(self) -> None:
+        found = _beyond_the_row(self.predicate)
+        if found:
+            raise ValueError(f"rule {self.name} is not about one row alone: it has {found}")
+
     def passes(self) -> Column:
+        self.__post_init__()
         return F.coalesce(F.expr(self.predicate), F.lit(False))
 
 

@@ -906,6 +906,21 @@ def _(spark, d):
     return G.parse_lines(lines, {"Id": "string", "Title": "string"})
 
 
+@query("nested_fields", """
+    SELECT doc_id || '.50' AS Id, '{"n": ' || n_chars || '.0, "t":[{"lang":"' || coalesce(lang, '-') || '"},[1.0,-2e3]]}' AS Title,
+      '{"k":' || doc_id || '} [2] ' || chr(64976) || coalesce(lang, '-') || ' ' || n_chars || '.10' AS Tags, md5(coalesce(text, '-')) AS text_md5,
+      '{"Extra":{"z":1.50, "a":[' || doc_id || ']}}' AS _rescued_data FROM documents""")
+def _(spark, d):
+    """Nested values, numbers and long texts of JSON lines, as they are written."""
+    docs = table(spark, d, "documents").withColumn("lang", F.coalesce("lang", F.lit("-")))
+    text = F.to_json(F.coalesce("text", F.lit("-")).cast("variant"))
+    line = F.format_string(
+        '{"Id":%d.50,"Title":{"n": %d.0, "t":[{"lang":"%s"},[1.0,-2e3]]},"Tags":[{"k":%d},[2],"\ufdd0%s",%d.10, null],"City" : %s,"Extra":{"z":1.50, "a":[%d]}}',
+        "doc_id", "n_chars", "lang", "doc_id", "lang", "n_chars", text, "doc_id")
+    parsed = G.parse_lines(docs.select(line.alias("value")), {"Id": "string", "Title": "string", "Tags": "array<string>", "City": "string"})
+    return parsed.select("Id", "Title", F.array_join("Tags", " ").alias("Tags"), F.md5("City").alias("text_md5"), "_rescued_data")
+
+
 @query("streamed_typed_postings", O.over("typed", "SELECT board, employment_type, seniority, count(*) AS n FROM typed GROUP BY 1, 2, 3"))
 def _(spark, d):
     work = fresh_dir(spark, "typed")

@@ -18,10 +18,23 @@ BRONZE_FIELDS = {
 }
 PROVENANCE = ("_source_file", "_source_file_modified", "_ingested_at")
 UNSEEN = "fields not in the recorded schema: "
-# A number of the JSON grammar where a value may stand. What comes before it since the last match is strings as a
-# whole and signs that begin no number, so nothing inside a string is taken for one. A malformed number stops the search.
-_NUMBERS = r'\G((?:[^"\-0-9]|"(?:[^"\\]|\\.)*+")*+)(-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?)(?=\s*+[,}\]])'
-_MARK = "\ufdd0"  # a code point that no text may use: it tells numbers kept as strings from strings
+DEPTH = 50  # levels of objects and arrays in a field's value; lines with deeper ones are kept whole
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_PLAIN = r'[^\[\]{}"]*+'
+
+
+def _value_pattern() -> str:
+    """Regular expression of a JSON value as it stands in a line, for lines known to be JSON."""
+    nested = _STRING
+    for _ in range(DEPTH):
+        nested = f"{_STRING}|[\\[{{]{_PLAIN}(?:(?:{nested}){_PLAIN})*+[\\]}}]"
+    return rf'(?:{nested}|[^\s",:\[\]{{}}]++)'
+
+
+_VALUE = _value_pattern()
+# What a match takes is consumed with all it holds, so the next one begins at the next field, or item, of the same level.
+_FIELD = rf"({_STRING})\s*+:\s*+({_VALUE})"
+_ITEM = rf"(?:^\[|,)\s*+({_VALUE})"
 
 
 # --- reading --------------------------------------------------------------------
@@ -40,60 +53,78 @@ def with_provenance(lines: DataFrame) -> DataFrame:
     )
 
 
-def _value(name: str, kind: str) -> Column:
-    quote = '"' if "'" in name else "'"
-    return F.try_variant_get("_json", f"$[{quote}{name}{quote}]", kind)
+def _ddl(fields: dict[str, str]) -> str:
+    return ", ".join(f"`{name.replace('`', '``')}` {kind}" for name, kind in fields.items())
+
+
+def _unquoted(text: Column) -> Column:
+    """What a JSON string says."""
+    bare = F.substring(text, 2, F.length(text) - 2)
+    return F.when(F.contains(text, F.lit("\\")), F.try_variant_get(F.try_parse_json(text), "$", "string")).otherwise(bare)
+
+
+def _as_text(written: Column) -> Column:
+    """A value as text: strings without their quotes, null as NULL, all others as they are written."""
+    return F.when(F.startswith(written, F.lit('"')), _unquoted(written)).when(written != "null", written)
+
+
+def _field(name: str) -> Column:
+    """A field's value as it is written; of a repeated name the last."""
+    return F.get("_written", F.array_position("_names", name).cast("int") - 1)
 
 
-def _text(name: str, kind: str) -> Column:
-    """A field as text: numbers as they are written."""
-    value = _value(name, kind)
+def _column(name: str, kind: str) -> Column:
     if kind == "string":
-        return F.ltrim(value, F.lit(_MARK))
-    return F.transform(value, lambda item: F.ltrim(item, F.lit(_MARK))) if kind == "array<string>" else value
+        return _as_text(_field(name))
+    items = F.transform(F.regexp_extract_all(_field(name), F.lit(_ITEM), F.lit(1)), _as_text)
+    return F.when(F.startswith(_field(name), F.lit("[")), items)
 
 
-def _unfit(fields: dict[str, str]):
-    """Test for entries the columns cannot hold: unknown names, and anything
+def _misfits(fields: dict[str, str]) -> Column:
+    """Places of the fields that no column can hold: unknown names, and anything
     but an array under the name of an array field."""
-    arrays = {name: kind for name, kind in fields.items() if kind != "string"}
+    arrays = [name for name, kind in fields.items() if kind != "string"]
+    places = F.filter(F.sequence(F.lit(0), F.size("_names") - 1), lambda i: i >= 0)
 
-    def test(key: Column, value: Column) -> Column:
-        unfit = ~key.isin(*fields)
-        for name, kind in arrays.items():
-            unfit = unfit | ((key == name) & ~F.is_variant_null(value) & _value(name, kind).isNull())
-        return unfit
-    return test
+    def unfit(i: Column) -> Column:
+        name, value = F.get("_names", i.cast("int")), F.get("_written", i.cast("int"))
+        no_array = name.isin(*arrays) & (value != "null") & ~F.startswith(value, F.lit("["))
+        return ~name.isin(*fields) | no_array
+    return F.filter(places, unfit)
 
 
 def parse_lines(lines: DataFrame, fields: dict[str, str], stop_on_unseen: bool = False) -> DataFrame:
     """JSON text in ``value`` -> one string (or string array) column per field.
 
-    Numbers are kept as they are written: they become marked strings before the
-    line is parsed, into a variant, which finds a field without scanning. What
-    does not fit the fields stays as JSON in ``_rescued_data``; a line that is no
-    JSON object stays as a whole, and so does one that repeats a name, whose
-    columns have the last value. With ``stop_on_unseen`` an unknown field fails
-    the job instead.
+    Values are the text of the line: numbers and nested objects and arrays are
+    kept as they are written, as a JSON scan keeps them. What does not fit the
+    fields stays as JSON in ``_rescued_data``, in order of name; a line that is
+    no JSON object stays there as a whole, and so does one that repeats a name,
+    whose columns have the last value, or that nests deeper than ``DEPTH``, whose
+    columns are empty. With ``stop_on_unseen`` an unknown field fails the job instead.
     """
     lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     others = [c for c in lines.columns if c != "value"]
+    # A variant tells what is JSON, and how many fields an object has.
     parsed = (
         lines.filter(F.trim("value") != "")
-        .select("*", F.try_parse_json(F.regexp_replace("value", _NUMBERS, f'$1"{_MARK}$2"')).alias("_json"))
-        .select("*", F.try_variant_get("_json", "$", "map<string,variant>").alias("_m"))
+        .select("*", F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>").alias("_m"))
+        .select("*", *[F.when(F.col("_m").isNotNull(), F.reverse(F.regexp_extract_all("value", F.lit(_FIELD), F.lit(part)))).alias(name)
+                       for part, name in ((1, "_quoted"), (2, "_written"))])
+        .select("*", F.transform("_quoted", _unquoted).alias("_names"))
     )
     if stop_on_unseen:
-        unseen = F.filter(F.map_keys("_m"), lambda k: ~k.isin(*fields))
+        unseen = F.array_distinct(F.filter("_names", lambda k: ~k.isin(*fields)))
         fine = F.col("_m").isNull() | (F.size(unseen) == 0)
-        stop = F.raise_error(F.concat(F.lit(UNSEEN), F.array_join(unseen, ", "))).cast("boolean")
+        stop = F.raise_error(F.concat(F.lit(UNSEEN), F.array_join(F.sort_array(unseen), ", "))).cast("boolean")
         parsed = parsed.filter(F.when(fine, True).otherwise(stop))
-    parsed = parsed.select("*", F.map_filter("_m", _unfit(fields)).alias("_rest"))
-    repeats = F.size(F.json_object_keys("value")) > F.size("_m")
-    rest = F.regexp_replace(F.to_json("_rest"), f'"{_MARK}([^"]*)"', "$1")
-    rescued = F.when(F.col("_m").isNull() | repeats, F.col("value")).when(F.size("_rest") > 0, rest)
-    return parsed.select(*[_text(n, k).alias(n) for n, k in fields.items()],
-                         rescued.alias("_rescued_data"), *others)
+    parsed = parsed.select("*", _misfits(fields).alias("_rest"))
+    whole = F.col("_m").isNull() | (F.size("_names") != F.size("_m")) | (F.size(F.json_object_keys("value")) != F.size("_m"))
+    rest = F.sort_array(F.transform("_rest", lambda i: F.struct(
+        F.get("_names", i.cast("int")).alias("name"), F.get("_quoted", i.cast("int")).alias("key"), F.get("_written", i.cast("int")).alias("value"))))
+    rest = F.array_join(F.transform(rest, lambda e: F.concat(e["key"], F.lit(":"), e["value"])), ",")
+    rescued = F.when(whole, F.col("value")).when(F.size("_rest") > 0, F.concat(F.lit("{"), rest, F.lit("}")))
+    return parsed.select(*[_column(n, k).alias(n) for n, k in fields.items()], rescued.alias("_rescued_data"), *others)
 
 
 def read_landing(spark: SparkSession, path: str, fields: dict[str, str] | None = None,
@@ -105,8 +136,7 @@ def read_landing(spark: SparkSession, path: str, fields: dict[str, str] | None =
 
 def read_json_strings(spark: SparkSession, path: str, fields: dict[str, str] | None = None) -> DataFrame:
     """Plain JSON scan of the given fields: every primitive a string as it is written, arrays kept."""
-    ddl = ", ".join(f"`{name}` {kind}" for name, kind in (fields or BRONZE_FIELDS).items())
-    return spark.read.schema(ddl).json(path)
+    return spark.read.schema(_ddl(fields or BRONZE_FIELDS)).json(path)
 
 
 # --- schema history -----------------------------------------------------------------

@@ -178,6 +178,27 @@ def test_bronze_keeps_the_text_of_numbers(spark, tmp_path):
     assert [r.Id for r in G.read_json_strings(spark, str(tmp_path / "plain"), fields).collect()] == [r[0] for r in rows[:3]]
 
 
+NESTED = ['{"Id":{"a":1.0,"b":[2]},"Tags":[{"k":1},[2]]}', '{"Id":[1, {"b" : 2,"a":1e3, "s":"]}\\""}], "Title" : "\ufdd0x", "Tags":["\ufdd01", 2.50, null ]}',
+          '{"Title":"' + "m" * 1_000_000 + '","Tags":[ ]}', '{"Id":true,"Title":null,"Tags":null}', '{"Ti\\u0074le":"\\u00e9\\/","Id":-0.10}', '{ }',
+          '{"Title":[' + ",".join('{"k":%d.0,"s":"v\\n"}' % i for i in range(20_000)) + "]}", '{"Id":' + "[" * 50 + "1" + "]" * 50 + "}"]
+
+
+def test_nested_values_keep_their_text(spark, tmp_path):
+    """The same text as a scan of the file gives, for every value that is no plain string too."""
+    fields = {"Id": "string", "Title": "string", "Tags": "array<string>"}
+    spark.createDataFrame([(x,) for x in NESTED], "value string").coalesce(1).write.text(str(tmp_path / "plain"))
+    parsed = [tuple(r) for r in G.parse_lines(spark.read.text(str(tmp_path / "plain")), fields).collect()]
+    assert [r[:3] for r in parsed] == [tuple(r) for r in G.read_json_strings(spark, str(tmp_path / "plain"), fields).collect()]
+    assert parsed[0][0] == '{"a":1.0,"b":[2]}' and parsed[0][2] == ['{"k":1}', "[2]"] and parsed[1][1:3] == ("\ufdd0x", ["\ufdd01", "2.50", None])
+    assert all(r[3] is None for r in parsed)
+
+
+def test_rescued_values_keep_their_text(spark):
+    lines = ['{"Z":{"z":1.50, "a":"\ufdd0q\\"\u00e9"},"Id":1,"Tags":"solo","A\\"b":[1.0]}', '{"Tags":{"x":1}}', '{"Id":' + "[" * 51 + "]" * 51 + "}", '{"X":null}']
+    rows = [tuple(r) for r in G.parse_lines(spark.createDataFrame([(x,) for x in lines], "value string"), {"Id": "string", "Tags": "array<string>"}).collect()]
+    assert rows == [("1", None, '{"A\\"b":[1.0],"Tags":"solo","Z":{"z":1.50, "a":"\ufdd0q\\"\u00e9"}}'), (None, None, '{"Tags":{"x":1}}'), (None, None, lines[2]), (None, None, '{"X":null}')]
+
+
 def test_counts_survive_many_batches(spark, area):
     for n in range(105):
         area.put(f"{n}.ndjson", {"Id": "1"}, {"Id": "2"})

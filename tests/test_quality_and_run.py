@@ -174,3 +174,16 @@ def test_quartiles_of_a_large_group(spark):
     assert row["n_postings"] == n and not row["small_sample"]
     for p, share in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
         assert abs(row[p] - share * n) <= n / 10_000 + 1
+
+
+@pytest.mark.parametrize(("predicate", "what"), [
+    ("salary > (SELECT avg(x) FROM t)", "subquery"), ("exists (\nselect 1)", "subquery"), ("sum(x) > 1", "sum"), ("x > Max (y)", "Max"), ("row_number() OVER (ORDER BY x) = 1", "window"),
+    ("count(*) OVER w > 1", "window"), ("lag(x) > 1", "lag"), ("any_value(x) IS NULL", "any_value")])
+def test_rules_about_several_rows_are_refused(spark, predicate, what):
+    with pytest.raises(ValueError, match=f"(?s)rule odd_one .*{what}"):
+        Q.Rule("odd_one", predicate)
+
+
+def test_rules_about_one_row_may_name_what_they_like(spark):
+    for predicate in ("note != 'select sum(x) over (w)'", "`over (` = 1 -- select\n", "length(skill) <= 80 AND greatest(a, b) > 1", "exists(tags, t -> t = 'x')", "selected > 1"):
+        assert Q.Rule("fine", predicate).passes() is not None
