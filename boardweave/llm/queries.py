@@ -7,12 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from boardweave.llm import bpe, decontaminate, extract, frames, language, rules, simhash, sketch, substrings, warc
+from boardweave.llm import (
+    align, bpe, decontaminate, extract, frames, language, merkle, rules, simhash, sketch, substrings, urls, warc)
 from boardweave.llm.batches import table
 from boardweave.llm.ship import ship
 from boardweave.plans.session import fresh_dir
 
 BYTE_BPE = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE, END_ID = public_tokenizers.path("word_bpe_49k.json"), 1
 
 
@@ -71,16 +73,30 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.neighbour_report(table(ship(spark), sf_dir, "documents"))
 
 
+def op11_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.verdicts(table(spark, sf_dir, "pages"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignments(table(ship(spark), sf_dir, "documents"), BYTE_BPE[0], PIECE_BPE)
+
+
+def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered_proofs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_warc, op2_main_text, op3_near_duplicates, op4_token_files, op5_quality, op6_language, op7_benchmark_matches,
-              op8_repeated_words, op9_bpe, op10_fingerprints)
+              op8_repeated_words, op9_bpe, op10_fingerprints, op11_url_verdicts, op12_alignment, op13_merkle_proofs)
 }
 
 #: The words of a text as the operator counts them.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 ORACLE: dict[str, str] = {
+    "op11_url_verdicts": urls.oracle(),
+    "op13_merkle_proofs": merkle.oracle(),
     "op8_repeated_words": rf"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         spot AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13),

@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from boardweave.llm.batches import (ODD, mixed, run_hashes, slices, starts_within, unused, window_hashes, words_of, written)
 from boardweave.llm.components import components
@@ -142,9 +142,15 @@ def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes_of(hashes, first).view(np.int64)), values], ["node", "shingles"])
 
 
-def few(df: DataFrame) -> DataFrame:
+def few(df: DataFrame, rows: int | None = None) -> DataFrame:
     """For a join: sent to every executor if it is small, dealt out by its key otherwise."""
-    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df
+    return F.broadcast(df) if (df.limit(FEW + 1).count() if rows is None else rows) <= FEW else df
+
+
+def _counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """A written table and its number of rows."""
+    found = Observation()
+    return written(df.observe(found, F.count("*").alias("n")), label), found.get["n"]
 
 
 def _again(name: str):
@@ -156,35 +162,38 @@ def _sizes_fit(a: str, b: str):
     return F.greatest(a, b) * LEAST[0] <= F.least(a, b) * LEAST[1]
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (u, v) that sizes and fingerprints allow to be alike."""
-    out = pairs
+def _likely(pairs: DataFrame, nodes: DataFrame) -> tuple[DataFrame, int]:
+    """The pairs (u, v) that sizes and fingerprints allow to be alike, and how many there are."""
+    out, n = _counted(pairs, "met")
     for end in "uv":
         own = nodes.select(_again("node").alias(f"w{end}"), F.col("size").alias(f"n{end}"), *[F.col(c).alias(c + end) for c in _PRINT])
-        out = out.join(own, F.col(end) == F.col(f"w{end}"))
+        out = few(out, n).join(own, F.col(end) == F.col(f"w{end}"))
     differ = sum((F.bit_count(F.col(c + "u").bitwiseXOR(F.col(c + "v"))) for c in _PRINT), F.lit(0))
-    return out.where(_sizes_fit("nu", "nv") & (differ <= MOST_BITS)).select("u", "v")
+    return _counted(out.where(_sizes_fit("nu", "nv") & (differ <= MOST_BITS)).select("u", "v"), "pairs")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sets are alike. Sets are made of one row of each node that is in a pair."""
-    wanted = pairs.select(F.col("u").alias("w")).union(pairs.select("v")).distinct()
-    shown = written(nodes.join(wanted, F.col("node") == F.col("w"), "left_semi").select(F.col("shown").alias("shown_row")), "shown")
-    texts = docs.join(few(shown), F.col("row") == F.col("shown_row"), "left_semi").select("text")
+def _verified(pairs: DataFrame, n: int, docs: DataFrame, nodes: DataFrame) -> tuple[DataFrame, int]:
+    """The ``n`` pairs (u, v) whose sets are alike, and how many they are. Sets are made of one row of each node that is in a pair."""
+    ends = pairs.select(F.col("u").alias("w")).union(pairs.select("v"))
+    shown = nodes.join(few(ends, 2 * n), F.col("node") == F.col("w"), "left_semi").select(F.col("shown").alias("shown_row"))
+    shown, rows = _counted(shown, "shown")
+    texts = docs.join(few(shown, rows), F.col("row") == F.col("shown_row"), "left_semi").select("text")
     sets = written(texts.mapInArrow(_sets, "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
     a = sets.select(_again("node").alias("wu"), F.col("shingles").alias("a"))
     b = sets.select(F.col("node").alias("wv"), F.col("shingles").alias("b"))
-    both = pairs.join(b, F.col("v") == F.col("wv")).join(a, F.col("u") == F.col("wu"))
+    both = few(pairs, n).join(b, F.col("v") == F.col("wv")).join(a, F.col("u") == F.col("wu"))
     both = both.select("u", "v", (F.size("a") + F.size("b")).alias("n"), F.size(F.array_intersect("a", "b")).alias("both"))
-    return written(both.where(F.col("both") * sum(LEAST) >= F.col("n") * LEAST[0]).select("u", "v"), "alike")
+    return _counted(both.where(F.col("both") * sum(LEAST) >= F.col("n") * LEAST[0]).select("u", "v"), "alike")
 
 
 def _apart(members: DataFrame, found: DataFrame | None) -> DataFrame:
     """(key, node, root) of the buckets whose nodes are in several classes."""
     if found is not None:
-        found = found.select(_again("node").alias("w"), F.col("root").alias("class"))
+        found = few(found.select(_again("node").alias("w"), F.col("root").alias("class")))
         members = members.join(found, F.col("node") == F.col("w"), "left").select("key", "node", F.coalesce("class", "node").alias("root"))
     several = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(_again("key").alias("k"), "low")
+    if found is not None:
+        several = few(written(several, "several"))
     return members.join(several, F.col("key") == F.col("k")).drop("k")
 
 
@@ -240,8 +249,8 @@ def _within(every: bool):
 def _met(apart: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
     """Likely pairs (u, v) of different classes within the buckets. A bucket's nodes are dealt into blocks of about half of ``BLOCK``."""
     many = apart.groupBy("key").agg(F.ceil(F.count("*") / (BLOCK // 2)).cast("long").alias("blocks")).select(_again("key").alias("k"), "blocks")
-    own = nodes.select(_again("node").alias("w"), "size", *_PRINT)
-    rows = apart.join(many, F.col("key") == F.col("k")).join(own, F.col("node") == F.col("w"))
+    rows = few(apart).join(nodes.select(_again("node").alias("w"), "size", *_PRINT), F.col("node") == F.col("w"))
+    rows = rows.join(few(written(many, "many")), F.col("key") == F.col("k"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")))
     # Each block meets itself and each other block of its bucket in a cell of its own.
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
@@ -250,25 +259,31 @@ def _met(apart: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
     return rows.repartition("cell").sortWithinPartitions("cell", "side", "node").mapInArrow(_within(every), "u long, v long").distinct()
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(u, v): nodes linked so that the pairs of a similarity of 0.8 or more that have a key in common are connected.
+def classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, root) of nodes with others: the least node that links reach. All pairs of a similarity of 0.8 or more that have a key in common are connected.
 
     ``docs`` has ``row`` and ``text``; ``nodes`` is one row of each distinct set, with ``shown``, the row of a document that has it.
     """
     keyed = nodes.where("size > 0").mapInArrow(_keyed, "key long, node long")
     members = written(_apart(keyed.withColumn("root", F.col("node")), None), "buckets")
     star = members.where("node != low").select(F.col("low").alias("u"), F.col("node").alias("v")).distinct()
-    tried = written(_likely(star, nodes), "pairs")
-    alike = _verified(tried, docs, nodes)
+    tried, n = _likely(star, nodes)
+    alike, _ = _verified(tried, n, docs, nodes)
+    found = components(alike, FEW)
     members = members.select("key", "node")
     for every in (False, True):
-        apart = written(_apart(members, components(alike)).drop("low"), "apart")
-        met = _met(apart, nodes, every)
-        new = written(met.join(tried, ["u", "v"], "left_anti"), "pairs")
-        if new.isEmpty():
+        apart, left = _counted(_apart(members, found).drop("low"), "apart")
+        if not left:
+            break
+        new, n = _counted(_met(apart, nodes, every).join(tried, ["u", "v"], "left_anti"), "pairs")
+        if not n:  # a forest may hold tried pairs alone while others are left
             continue
-        tried, alike = tried.union(new), alike.union(_verified(new, docs, nodes))
-    return alike
+        more, n = _verified(new, n, docs, nodes)
+        tried = tried.union(new)
+        if n:
+            alike = alike.union(more)
+            found = components(alike, FEW)
+    return found
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -288,5 +303,5 @@ def groups(docs: DataFrame) -> DataFrame:
     rows = written(docs.mapInArrow(_marked, schema), "nodes")
     one = [F.first(c).alias(c) for c in ["size", *_PRINT, *_ANCHOR]]
     nodes = written(rows.groupBy("node").agg(F.first("row").alias("shown"), *one), "distinct")
-    found = components(links(docs, nodes)).select(_again("node").alias(rest), F.col("root").alias("root"))
+    found = classes(docs, nodes).select(_again("node").alias(rest), F.col("root").alias("root"))
     return rows.join(found, F.col("node") == F.col(rest), "left").select(*kept.columns, F.coalesce("root", "node").alias("group"))
