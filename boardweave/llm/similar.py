@@ -23,10 +23,11 @@ pairs that are left. What leaves a bucket is likely alike, and is verified.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from boardweave.llm.batches import (ODD, mixed, run_hashes, slices, starts_within, unused, window_hashes, words_of, written)
 from boardweave.llm.components import components
@@ -39,6 +40,7 @@ SEGMENTS, SEGMENT, PARTS = 10, 23, 4  # segments of a fingerprint, bits of each,
 MOST_BITS = 76
 BLOCK = 1 << 11  # nodes of a bucket that are compared with each other at once
 FEW = 1 << 20  # rows of longs that are small enough for every executor
+ROWS = 1000  # texts in a batch
 _PRINT = [f"f{i}" for i in range(PARTS)]
 _ANCHOR = [f"a{i}" for i in range(SEGMENTS)]
 
@@ -77,7 +79,7 @@ def _stamped(hashes: np.ndarray, number: int) -> np.ndarray:
     return mixed(hashes ^ mixed(np.array([number + 1], np.uint64) * ODD))
 
 
-def prints_of(hashes: np.ndarray, first: np.ndarray, block: int = 1 << 17) -> np.ndarray:
+def prints_of(hashes: np.ndarray, first: np.ndarray, block: int = 1 << 15) -> np.ndarray:
     """A row of ``PARTS`` 64-bit parts for each set: a bit is 1 if over half of the shingles' hashes have it."""
     sizes = np.diff(first)
     ones = np.zeros((len(sizes), 64 * PARTS), np.int64)
@@ -142,6 +144,18 @@ def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes_of(hashes, first).view(np.int64)), values], ["node", "shingles"])
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Whole texts go to Python ``ROWS`` at a time, so that a batch of them takes a few MB on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def few(df: DataFrame, rows: int | None = None) -> DataFrame:
     """For a join: sent to every executor if it is small, dealt out by its key otherwise."""
     return F.broadcast(df) if (df.limit(FEW + 1).count() if rows is None else rows) <= FEW else df
@@ -178,7 +192,8 @@ def _verified(pairs: DataFrame, n: int, docs: DataFrame, nodes: DataFrame) -> tu
     shown = nodes.join(few(ends, 2 * n), F.col("node") == F.col("w"), "left_semi").select(F.col("shown").alias("shown_row"))
     shown, rows = _counted(shown, "shown")
     texts = docs.join(few(shown, rows), F.col("row") == F.col("shown_row"), "left_semi").select("text")
-    sets = written(texts.mapInArrow(_sets, "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
+    with _small_batches(docs.sparkSession):
+        sets = written(texts.mapInArrow(_sets, "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
     a = sets.select(_again("node").alias("wu"), F.col("shingles").alias("a"))
     b = sets.select(F.col("node").alias("wv"), F.col("shingles").alias("b"))
     both = few(pairs, n).join(b, F.col("v") == F.col("wv")).join(a, F.col("u") == F.col("wu"))
@@ -300,7 +315,8 @@ def groups(docs: DataFrame) -> DataFrame:
     kept = docs.drop("text")
     added = ["node long", "size long", *[f"{c} long" for c in [*_PRINT, *_ANCHOR]]]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), *added])
-    rows = written(docs.mapInArrow(_marked, schema), "nodes")
+    with _small_batches(docs.sparkSession):
+        rows = written(docs.mapInArrow(_marked, schema), "nodes")
     one = [F.first(c).alias(c) for c in ["size", *_PRINT, *_ANCHOR]]
     nodes = written(rows.groupBy("node").agg(F.first("row").alias("shown"), *one), "distinct")
     found = classes(docs, nodes).select(_again("node").alias(rest), F.col("root").alias("root"))
