@@ -3,16 +3,22 @@
 A page becomes text nodes in order, each with its root-to-leaf path of block
 elements (name and first class or id). For every path, text length,
 punctuation and linked length are summed and divided by its nodes; the two
-ratios are smoothed over the page's order of nodes, fused to one score, and
-paths whose score reaches a share of the best are content paths; paths in an
-article or main element score a quarter more. Their nodes select the content
+ratios are smoothed over the page's order of nodes, fused to one score that falls
+with the linked share, and paths whose score reaches a share of the best are
+content paths; paths in an article or main element score a quarter more. Menus
+are told by their scores alone, a path in one having the linked share of the whole
+menu. The nodes of content paths select the content
 element: the innermost that holds nearly all of their text, or the outermost
 around it in its article that adds little but links.
-In it, every block is taken that is not furniture by its element or by a whole
-class or id, so that headings and short paragraphs stay; mostly linked blocks
-go unless they are a heading, a paragraph or a list of sources. A class or id
+In it, blocks of content paths are taken, and of the other paths those that
+are not mostly links, so that headings and short paragraphs stay, or that are a heading, a
+paragraph or a list of sources. What is furniture by its element or by a whole
+class or id is not taken. A class or id
 removes nothing that holds most of the page's scored text (all of it, for names
 of advertisements, comments and the like).
+
+Paths are numbers that elements share, and sums go from elements to their
+parents in one pass, so time grows with the page and not with its depth.
 """
 
 from __future__ import annotations
@@ -20,6 +26,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -36,8 +43,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data dfn del em font i ins kbd label mark q rp rt ruby s samp small span
-    strike strong sub sup time tt u var wbr img br""".split())
-FURNITURE = frozenset("""nav header footer aside form button select option menu dialog template svg math object audio video canvas
+    strike strong sub sup time tt u var wbr img br math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom
+    msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mtd semantics annotation annotation-xml""".split())
+UNSEEN = frozenset({"annotation", "annotation-xml"})  # inline, and never shown
+MENUS = frozenset({"nav", "menu"})
+FURNITURE = frozenset("""header footer aside form button select option dialog template svg object audio video canvas
     script style noscript iframe title head textarea fieldset input datalist figure""".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split())
 WORDS = frozenset("""ad ads adv advert advertisement advertising adbox adslot banner sponsor sponsored promo promotion menu nav navbar
@@ -61,23 +71,22 @@ ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 
 
 class Element:
-    __slots__ = ("name", "label", "parent", "out", "article", "weight", "named")
+    __slots__ = ("name", "label", "parent", "out", "article", "menu", "named", "path", "weight", "own", "inside")
 
-    def __init__(self, name: str, label: str, parent: Element | None, out: bool, named: str = "") -> None:
-        self.name, self.label, self.parent, self.weight, self.named = name, label, parent, 0, named
+    def __init__(self, name: str, label: str, parent: Element | None, out: bool, path: int, named: str = "") -> None:
+        self.name, self.label, self.parent, self.path, self.named, self.weight, self.own = name, label, parent, path, named, 0, 0
         self.article = name in ("article", "main") or bool(parent and parent.article)
+        self.menu = self if name in MENUS else parent and parent.menu
         self.out = out or bool(parent and parent.out)
 
 
 class Node:
-    __slots__ = ("element", "path", "parts", "linked", "text", "signs")
+    """A block of text. ``linked`` counts its linked characters, ``share`` is their share, or the share of the whole menu around it."""
+
+    __slots__ = ("element", "parts", "linked", "share", "text", "signs")
 
     def __init__(self, element: Element) -> None:
-        path, at = [], element
-        while at is not None:
-            path.append(at.label)
-            at = at.parent
-        self.element, self.path, self.parts, self.linked = element, tuple(path), [], 0
+        self.element, self.parts, self.linked = element, [], 0
 
 
 def _furniture_name(value: str) -> str:
@@ -111,13 +120,26 @@ def _furniture(name: str, attributes: str, inside: bool) -> tuple[bool, str, str
     return out, label, named
 
 
-def nodes_of(page: str) -> list[Node]:
-    """Text nodes by block, in page order; furniture by element, role or style is left out."""
-    root = here = Element("#", "#", None, False)
+def nodes_of(page: str) -> tuple[list[Node], list[Element]]:
+    """Text nodes by block, in page order, and all elements, parents first; furniture by element, role or style is left out."""
+    root = here = Element("#", "#", None, False, 0)
+    elements, paths, unclosed = [root], {}, Counter()
     links, nodes, node, place = 0, [], None, 0
-    while m := _TAG.match(page, place):
-        piece, place = m[0], m.end()
-        name = (m[2] or m[5] or "").lower()
+    last = page.rfind(">")  # no tag ends after it
+
+    def entered(name: str, label: str, out: bool, named: str) -> Element:
+        unclosed[name] += 1
+        elements.append(Element(name, label, here, out, paths.setdefault((here.path, label), len(paths) + 1), named))
+        return elements[-1]
+
+    def left(element: Element) -> Element:
+        unclosed[element.name] -= 1
+        return element.parent
+
+    while place < len(page):
+        m = _TAG.match(page, place) if place <= last else None
+        piece, place = (m[0], m.end()) if m else (page[place:], len(page))
+        name = (m[2] or m[5] or "").lower() if m else ""
         if not name:
             if piece.startswith(("<!", "<?")) or here.out:
                 continue
@@ -141,12 +163,17 @@ def nodes_of(page: str) -> list[Node]:
                 links = 0 if closing else 1
             elif not closing and attributes:
                 out, _, named = _furniture(name, attributes, here.article)
+            out |= name in UNSEEN and not closing
+            if out and name in UNSEEN and not named:  # leaves the line in one piece
+                end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, place)
+                place = end.start() if end else place
+                continue
             if (out or named) and name not in VOID:  # a hidden or foreign part of a line stands as an element of its own
                 if node is not None:
                     nodes.append(node)
-                here, node = Element(name, name, here, out, named), None
+                here, node = entered(name, name, out, named), None
             elif closing and here.name == name:
-                here = here.parent
+                here = left(here)
             continue
         if node is not None:
             nodes.append(node)
@@ -154,42 +181,61 @@ def nodes_of(page: str) -> list[Node]:
         if name in VOID:
             continue
         if closing:
-            at = here
-            while at is not root and at.name != name:
-                at = at.parent
-            if at is not root:
-                here, links = at.parent, 0
+            if unclosed[name]:
+                while here.name != name:
+                    here = left(here)
+                here, links = left(here), 0
             continue
-        if here.name in INLINE:
-            while here.name in INLINE:
-                here = here.parent
+        while here.name in INLINE:
+            here = left(here)
         if here.name == "p" or name in ENDED_BY.get(here.name, ()):
-            here = here.parent
+            here = left(here)
             while here is not root and name in ENDED_BY.get(here.name, ()):
-                here = here.parent
+                here = left(here)
         links = 0
         out, label, named = _furniture(name, attributes, here.article)
-        here = Element(name, label, here, out, named)
+        here = entered(name, label, out, named)
     if node is not None:
         nodes.append(node)
-    kept = []
+    kept, menus = [], {}
     for n in nodes:
         n.text = " ".join(html.unescape("".join(n.parts)).split())
         if n.text:
             n.signs = len(_SIGNS.findall(n.text))
+            n.linked = min(n.linked, len(n.text))
             kept.append(n)
-    return kept
+            if n.element.menu:
+                whole = menus.setdefault(n.element.menu, [0, 0])
+                whole[0] += n.linked
+                whole[1] += len(n.text)
+    for n in kept:
+        n.share = n.linked / len(n.text)
+        if n.element.menu:
+            whole = menus[n.element.menu]
+            n.share = max(n.share, whole[0] / whole[1])
+    return kept, elements
+
+
+def _summed(nodes: Iterable[Node], elements: list[Element], amount) -> dict[Element, float]:
+    """For each element, the amounts of the nodes in it."""
+    sums = dict.fromkeys(elements, 0)
+    for n in nodes:
+        sums[n.element] += amount(n)
+    for e in reversed(elements):
+        if e.parent is not None:
+            sums[e.parent] += sums[e]
+    return sums
 
 
-def path_scores(nodes: list[Node]) -> dict[tuple[str, ...], float]:
+def path_scores(nodes: list[Node]) -> dict[int, float]:
     """The fused score of each path."""
-    sums: dict[tuple[str, ...], list[float]] = {}
+    sums: dict[int, list[float]] = {}
     for n in nodes:
-        s = sums.setdefault(n.path, [0, 0, 0, 0])
-        for i, x in enumerate((len(n.text), n.signs, min(n.linked, len(n.text)), 1)):
+        s = sums.setdefault(n.element.path, [0, 0, 0, 0])
+        for i, x in enumerate((len(n.text), n.signs, n.share * len(n.text), 1)):
             s[i] += x
-    length = [sums[n.path][0] / sums[n.path][3] for n in nodes]
-    signs = [sums[n.path][1] / sums[n.path][3] for n in nodes]
+    length = [sums[n.element.path][0] / sums[n.element.path][3] for n in nodes]
+    signs = [sums[n.element.path][1] / sums[n.element.path][3] for n in nodes]
 
     def smooth(values: list[float]) -> list[float]:
         half, out = len(SMOOTH) // 2, []
@@ -198,115 +244,82 @@ def path_scores(nodes: list[Node]) -> dict[tuple[str, ...], float]:
             out.append(sum(w * v for w, v in near) / sum(w for w, _ in near))
         return out
 
-    fused: dict[tuple[str, ...], list[float]] = {}
+    fused: dict[int, list[float]] = {}
     for n, a, b in zip(nodes, smooth(length), smooth(signs), strict=True):
-        whole, _, linked, _ = sums[n.path]
-        fused.setdefault(n.path, []).append(math.sqrt(a * (1 + b)) * (1 - linked / whole))
+        whole, _, linked, _ = sums[n.element.path]
+        fused.setdefault(n.element.path, []).append(math.sqrt(a * (1 + b)) * max(0.0, 1 - linked / whole))
     return {path: sum(v) / len(v) for path, v in fused.items()}
 
 
-def _content(nodes: list[Node]) -> list[Node]:
-    """The nodes of content paths; article and main raise the score of a path and decide nothing by themselves."""
+def _content(nodes: list[Node]) -> set[int]:
+    """The content paths; article and main raise the score of a path and decide nothing by themselves."""
     scores = path_scores(nodes)
-    scores |= {n.path: RAISED * scores[n.path] for n in {n.path: n for n in nodes if n.element.article}.values()}
+    scores |= {path: RAISED * scores[path] for path in {n.element.path for n in nodes if n.element.article}}
     limit = THRESHOLD * max(scores.values())
-    return [n for n in nodes if scores[n.path] >= limit]
+    return {path for path, score in scores.items() if score >= limit}
 
 
-def _without_named(nodes: list[Node]) -> list[Node]:
+def _without_named(nodes: list[Node], elements: list[Element]) -> list[Node]:
     """Without what a class or id calls furniture, unless that holds most of the page's scored text, or all of it if the name is certain."""
-    under: list[list[Element]] = []
-    for n in nodes:
-        at, found = n.element, []
-        while at is not None:
-            if at.named:
-                found.append(at)
-            at = at.parent
-        under.append(found)
-    if not any(under):
+    if not any(e.named for e in elements):
         return nodes
-    above = dict(zip(map(id, nodes), under, strict=True))
-    content = _content(nodes)
-    whole, held = sum(len(n.text) for n in content), {}
-    for n in content:
-        for e in above[id(n)]:
-            held[e] = held.get(e, 0) + len(n.text)
-
-    def stays(e: Element) -> bool:
-        certain = bool(CERTAIN & set(re.split(r"[_-]+", e.named)))
-        return held.get(e, 0) >= whole if certain else 2 * held.get(e, 0) > whole
-
-    return [n for n, elements in zip(nodes, under, strict=True) if all(map(stays, elements))] or nodes
-
-
-def _keeps_links(nodes: list[Node], box: Element) -> set[int]:
-    """Places of mostly linked nodes that are a heading, a paragraph or a source list of the content element."""
+    paths = _content(nodes)
+    held = _summed((n for n in nodes if n.element.path in paths), elements, lambda n: len(n.text))
+    whole, stays = held[elements[0]], {}
+    for e in elements:
+        fine = e.parent is None or stays[e.parent]
+        if fine and e.named:
+            certain = bool(CERTAIN & set(re.split(r"[_-]+", e.named)))
+            fine = held[e] >= whole if certain else 2 * held[e] > whole
+        stays[e] = fine
+    return [n for n in nodes if stays[n.element]] or nodes
+
+
+def _kept_links(chosen: list[Node], inside: dict[Element, bool], box: Element) -> set[int]:
+    """Places of nodes that are a heading, a paragraph or part of a source list of the content element, even if they are links."""
+    about: dict[Element, tuple] = {}  # whether in a heading, in prose or an ordered list or a box named so, in an item
+    for e, within in inside.items():
+        if within:
+            heading, stays, item = about.get(e.parent, (False, False, False)) if e is not box else (False, False, False)
+            labelled = bool(SOURCES.search(e.label.partition(".")[2].replace("-", " ").replace("_", " ")))
+            about[e] = (heading or e.name in HEADINGS, stays or e.name in PROSE or e.name == "ol" or labelled, item or e.name in ("li", "td"))
     kept, sources = set(), False
-    for i, n in enumerate(nodes):
-        at, names, labelled = n.element, set(), False
-        while at is not None and at is not box.parent:
-            names.add(at.name)
-            labelled |= bool(SOURCES.search(at.label.partition(".")[2].replace("-", " ").replace("_", " ")))
-            at = at.parent
-        if names & HEADINGS:
+    for i, n in enumerate(chosen):
+        heading, stays, item = about[n.element]
+        if heading:
             sources = bool(SOURCES.search(n.text))
-        if names & PROSE or "ol" in names or labelled or (sources and names & {"li", "td"}):
+        if stays or (sources and item):
             kept.add(i)
     return kept
 
 
 def main_text(page: str) -> str:
     """The article's blocks joined by an empty line; empty if there is none."""
-    nodes = _without_named(nodes_of(page))
+    nodes, elements = nodes_of(page)
+    nodes = _without_named(nodes, elements)
     if not nodes:
         return ""
-    content = _content(nodes)
-    total = 0
-    for n in content:
-        total += len(n.text)
-        at = n.element
-        while at is not None:
-            at.weight += len(n.text)
-            at = at.parent
-    box = content[0].element if content else None
-    for n in content:  # innermost element with nearly all of the content
-        at = n.element
-        while at.weight < HOLDS * total:
-            at = at.parent
-        if at.weight >= HOLDS * total and (box.weight < HOLDS * total or _depth(at) > _depth(box)):
-            box = at
-    if box is not None and len(content) > 1 and box.parent is not None and box.name in ("p", "li", "td", "dd", "blockquote"):
+    paths = _content(nodes)
+    content = [n for n in nodes if n.element.path in paths]
+    weight = _summed(content, elements, lambda n: len(n.text))
+    total = weight[elements[0]]
+    box = [e for e in elements if weight[e] >= HOLDS * total][-1]  # they lie in each other: the last is the innermost with nearly all of the content
+    if len(content) > 1 and box.parent is not None and box.name in ("p", "li", "td", "dd", "blockquote"):
         box = box.parent
-    if box is not None and box.article:  # with the short blocks beside it, as long as it holds nearly all that is not linked
-        own, at, best = {}, box, box
-        for n in nodes:
-            up = n.element
-            while up is not None:
-                own[up] = own.get(up, 0) + max(0, len(n.text) - n.linked)
-                up = up.parent
+    if box.article:  # with the short blocks beside it, as long as it holds nearly all that is not linked
+        own = _summed(nodes, elements, lambda n: max(0, len(n.text) - n.linked))
+        at, best = box, box
         while at.parent is not None and at.parent.article:
             at = at.parent
-            if box.weight >= HOLDS * own[at]:
+            if weight[box] >= HOLDS * own[at]:
                 best = at
         box = best
-    chosen = [n for n in nodes if _within(n.element, box)]
-    kept = _keeps_links(chosen, box) if any(n.linked >= LINKED * len(n.text) for n in chosen) else ()
-    return "\n\n".join(n.text for i, n in enumerate(chosen) if n.linked < LINKED * len(n.text) or i in kept)
-
-
-def _depth(element: Element) -> int:
-    depth = 0
-    while element.parent is not None:
-        element, depth = element.parent, depth + 1
-    return depth
-
-
-def _within(element: Element | None, box: Element) -> bool:
-    while element is not None:
-        if element is box:
-            return True
-        element = element.parent
-    return False
+    inside: dict[Element, bool] = {}
+    for e in elements:
+        inside[e] = e is box or bool(e.parent and inside[e.parent])
+    chosen = [n for n in nodes if inside[n.element]]
+    kept = _kept_links(chosen, inside, box) if any(n.share >= LINKED for n in chosen) else ()
+    return "\n\n".join(n.text for i, n in enumerate(chosen) if n.element.path in paths or n.share < LINKED or i in kept)
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
