@@ -276,13 +276,14 @@ def _without_named(nodes: list[Node], elements: list[Element]) -> list[Node]:
 
 
 def _kept_links(chosen: list[Node], inside: dict[Element, bool], box: Element) -> set[int]:
-    """Places of nodes that are a heading, a paragraph or part of a source list of the content element, even if they are links."""
+    """Places of nodes that are a heading, a paragraph or part of a source list of the content element, even if they are links; none of a menu is."""
     about: dict[Element, tuple] = {}  # whether in a heading, in prose or an ordered list or a box named so, in an item
     for e, within in inside.items():
         if within:
             heading, stays, item = about.get(e.parent, (False, False, False)) if e is not box else (False, False, False)
             labelled = bool(SOURCES.search(e.label.partition(".")[2].replace("-", " ").replace("_", " ")))
-            about[e] = (heading or e.name in HEADINGS, stays or e.name in PROSE or e.name == "ol" or labelled, item or e.name in ("li", "td"))
+            found = heading or e.name in HEADINGS, stays or e.name in PROSE or e.name == "ol" or labelled, item or e.name in ("li", "td")
+            about[e] = found if e.menu is None else (False, False, False)
     kept, sources = set(), False
     for i, n in enumerate(chosen):
         heading, stays, item = about[n.element]
