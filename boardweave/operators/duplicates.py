@@ -2,24 +2,20 @@
 
 One duplicate key can hold a large share of all rows (every row without link,
 company and title has the same fingerprint), so no step may send a whole group
-to one task. Group facts are computed from narrow columns with map-side
-combining, in two levels: per (key, salt) first, then per key over at most
-``SALTS`` narrow rows. Their join back to the wide rows is on (key, salt), which
-cuts a hot group into ``SALTS`` pieces without copying any row. A large ``SALTS``
-adds no pieces to small groups, a key never having more pieces than rows; but
-every row, also one alone in its group, goes through both levels and the join.
+to one task. Group facts are one aggregation of narrow columns, combined on the
+map side, that keeps groups of two or more. The rows join them back. Neither side of that join comes
+from an aggregation's exchange, so adaptive execution can split the partition of a hot key, and no
+other row pays for it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardweave.functions.text import norm_text
 from boardweave.sources.tables import POSTINGS
 
-SALTS = 1 << 16
-
 POSTING_COLUMNS = [name for name, *_ in POSTINGS]
 
 _BY_URL = "url:"
@@ -35,26 +31,15 @@ def _precedence() -> Column:
     return F.struct(F.col("posted_at").isNull().alias("undated"), "posted_at", "board", "source_id")
 
 
-def _salt() -> Column:
-    return F.pmod(F.xxhash64("board", "source_id"), F.lit(SALTS)).cast("int").alias("_salt")
-
-
 def group_facts(current: DataFrame) -> DataFrame:
-    """(dup_key, salt) -> facts of the whole group, for groups of two or more."""
-    narrow = current.select("dup_key", _salt(), "board", _precedence().alias("_rank"))
-    pieces = narrow.groupBy("dup_key", "_salt").agg(
-        F.count("*").alias("_n"),
-        F.min("board").alias("_low"),
-        F.max("board").alias("_high"),
-        F.min("_rank").alias("_first"),
+    """Size, first row by precedence and whether boards differ, of each group of two or more."""
+    return (
+        current.select("dup_key", "board", _precedence().alias("_rank"))
+        .groupBy("dup_key")
+        .agg(F.count("*").alias("dup_group_size"), F.min("_rank").alias("_first"),
+             (F.min("board") != F.max("board")).alias("is_cross_board_duplicate"))
+        .filter("dup_group_size > 1")
     )
-    group = Window.partitionBy("dup_key")
-    return pieces.select(
-        "dup_key", "_salt",
-        F.sum("_n").over(group).alias("dup_group_size"),
-        F.min("_first").over(group).alias("_first"),
-        (F.min("_low").over(group) != F.max("_high").over(group)).alias("is_cross_board_duplicate"),
-    ).filter("dup_group_size > 1")
 
 
 def flag_duplicates(current: DataFrame) -> DataFrame:
@@ -63,9 +48,10 @@ def flag_duplicates(current: DataFrame) -> DataFrame:
     Needs dup_key, board, source_id and posted_at; other columns ride along.
     Rows without a match in ``group_facts`` are alone in their group.
     """
-    facts = group_facts(current).withColumnsRenamed({"dup_key": "_key", "_salt": "_part"})
-    rows = current.select("*", _salt(), _precedence().alias("_rank"))
-    joined = rows.join(facts, (F.col("dup_key") == F.col("_key")) & (F.col("_salt") == F.col("_part")), "left")
+    # The key as an expression is dealt anew: only then may the join split the rows of a hot key.
+    facts = group_facts(current).select(
+        F.concat("dup_key", F.lit("")).alias("_key"), "dup_group_size", "_first", "is_cross_board_duplicate")
+    joined = current.withColumn("_rank", _precedence()).join(facts, F.col("dup_key") == F.col("_key"), "left")
     return joined.select(
         *current.columns,
         F.coalesce("dup_group_size", F.lit(1).cast("bigint")).alias("dup_group_size"),

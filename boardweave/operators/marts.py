@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardweave.operators.duplicates import matched_by
+from boardweave.operators.quantiles import exact_quantiles
 from boardweave.operators.quality import DROP, FAIL, WARN, rules
 from boardweave.operators.salary import has_amount, with_annual_usd
 
@@ -80,6 +81,14 @@ def salary_bands(facts: DataFrame, accuracy: int = 10_000) -> DataFrame:
     )
 
 
+def exact_salary_bands(facts: DataFrame) -> DataFrame:
+    """``salary_bands`` with exact quartiles of groups of any size, at the price of a few passes over the facts."""
+    keys = ("board", "country", "seniority", "employment_type")
+    found = exact_quantiles(facts.filter("is_canonical"), keys, "salary_mid_annual_usd", [0.25, 0.5, 0.75])
+    return found.select(*keys, *[F.get("values", F.lit(i)).alias(name) for i, name in enumerate(("p25", "p50", "p75"))],
+                        F.col("n").alias("n_postings"), (F.col("n") < SMALL_SAMPLE).alias("small_sample"))
+
+
 def skill_trends(dated_skills: DataFrame, postings: DataFrame,
                  min_postings: int = MIN_SKILL_POSTINGS) -> DataFrame:
     """Postings per skill, board and week, and their share of that board-week.

@@ -32,6 +32,7 @@ from boardweave.sources import exports as E
 from boardweave.sources import landing as G
 from boardweave.sources.tables import every_run, read_published
 from boardweave.streaming import bronze as SB
+from boardweave.streaming import history as SH
 from boardweave.streaming import silver as SS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -591,6 +592,11 @@ def _(spark, d):
     return Q.enforce(M.salary_bands(P.salary_facts_from(salary_base(spark, d))), M.BAND_RULES)
 
 
+@query("exact_salary_bands", O.over("facts", _BANDS))
+def _(spark, d):
+    return M.exact_salary_bands(P.salary_facts_from(salary_base(spark, d)))
+
+
 _TRENDS = f"""
     SELECT s.skill, s.board, s.week, s.n AS postings, s.n / t.n AS share
     FROM (SELECT skill, board, {_WEEK} AS week, count(DISTINCT posting_key) AS n FROM skills GROUP BY 1, 2, 3) AS s
@@ -963,6 +969,24 @@ def _(spark, d):
     return SS.read_current(spark, f"{work}/log", _EVENT_KEYS, _EVENT_ORDER).select("user_id", "event_type", "event_id")
 
 
+@query("streamed_history", """
+    SELECT user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS valid_from, strftime(lead(ts) OVER w, '%Y-%m-%d %H:%M:%S.%f') AS valid_to,
+      lead(ts) OVER w IS NULL AS is_current FROM (
+      SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM (
+        SELECT user_id, ts, max(event_type) AS event_type FROM events GROUP BY 1, 2) AS x) AS y
+    WHERE before IS DISTINCT FROM event_type WINDOW w AS (PARTITION BY user_id ORDER BY ts)""")
+def _(spark, d):
+    """Intervals of each user's kind of event; batches come in an order that has nothing to do with their times."""
+    work = fresh_dir(spark, "history")
+    rows = table(spark, d, "events").select("user_id", "ts", "event_type")
+    for part in (2, 0, 3, 1):
+        rows.filter(F.pmod(F.hash("user_id", "ts", F.lit(7)), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(f"{work}/in")
+    stream = SS.table_stream(spark, f"{work}/in", {"maxFilesPerTrigger": "1"})
+    SH.history_log(stream, f"{work}/log", f"{work}/checkpoint", ("user_id",), ("ts",), ())
+    return SH.read_history(spark, f"{work}/log", ("user_id",)).select(
+        "user_id", "event_type", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) for c in ("valid_from", "valid_to")], "is_current")
+
+
 @query("streamed_stateful_latest", _LATEST_EVENTS)
 def _(spark, d):
     stream, work = _event_stream(spark, d)

@@ -18,6 +18,8 @@ BRONZE_FIELDS = {
 }
 PROVENANCE = ("_source_file", "_source_file_modified", "_ingested_at")
 UNSEEN = "fields not in the recorded schema: "
+MOST_FIELDS = 10_000  # new names of one stop
+FILES_AT_ONCE = 10_000
 DEPTH = 50  # levels of objects and arrays in a field's value; lines with deeper ones are kept whole
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _PLAIN = r'[^\[\]{}"]*+'
@@ -158,14 +160,27 @@ def record_fields(spark: SparkSession, schema_dir: str, fields: dict[str, str])
     row.coalesce(1).write.text(f"{schema_dir}/version={version}")
 
 
-def unseen_fields(spark: SparkSession, path: str, glob: str, known: dict[str, str], since=None) -> list[str]:
-    """Field names in landed files that ``known`` lacks (names, not rows, come
-    to the driver). ``since`` skips older files when they are listed."""
-    lines = spark.read.options(**text_options(glob)).text(path)
-    if since is not None:
-        lines = lines.filter(F.col("_metadata.file_modification_time") >= F.lit(since))
-    names = lines.select(F.explode(F.json_object_keys("value")).alias("name")).distinct()
-    return sorted(r["name"] for r in names.filter(~F.col("name").isin(*known)).collect())
+def pending_files(spark: SparkSession, path: str, glob: str, bronze_dir: str) -> list[str]:
+    """Landed files of which the bronze table has no row, whatever their age: names are listed, no landed file is read."""
+    landed = (spark.read.format("binaryFile").options(pathGlobFilter=glob, recursiveFileLookup="true").load(path)
+              .select("path", F.col("_metadata.file_path").alias("name")))
+    if files.exists(spark, f"{bronze_dir}/_spark_metadata"):
+        loaded = spark.read.parquet(bronze_dir).select(F.col("_source_file").alias("name")).distinct()
+        landed = landed.join(loaded, "name", "left_anti")
+    return sorted(r["path"] for r in landed.select("path").collect())
+
+
+def unseen_fields(spark: SparkSession, paths: list[str], known: dict[str, str]) -> list[str]:
+    """Field names in these files that ``known`` lacks. Names come to the driver, not
+    rows; more than ``MOST_FIELDS`` of them are an error."""
+    found: set[str] = set()
+    for begin in range(0, len(paths), FILES_AT_ONCE):
+        lines = spark.read.option("lineSep", "\n").text(paths[begin : begin + FILES_AT_ONCE])
+        names = lines.select(F.explode(F.json_object_keys("value")).alias("name")).distinct()
+        found.update(r["name"] for r in names.filter(~F.col("name").isin(*known)).limit(MOST_FIELDS + 1).collect())
+        if len(found) > MOST_FIELDS:
+            raise ValueError(f"over {MOST_FIELDS} new field names: these are no fields of a record")
+    return sorted(found)
 
 
 # --- landing ------------------------------------------------------------------------

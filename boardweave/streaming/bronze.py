@@ -11,6 +11,9 @@ from boardweave.sources import files
 from boardweave.sources import landing as land
 
 
+OLDEST = "36500d"
+
+
 class UnseenFields(RuntimeError):
     """New fields stopped the run; they are recorded, so the next run goes on."""
 
@@ -49,14 +52,35 @@ def drain(stream: DataFrame, path: str, checkpoint: str) -> list[dict]:
 
 def bronze_stream(spark: SparkSession, landing: str, fields: dict[str, str], glob: str = "*.ndjson",
                   stop_on_unseen: bool = True, limits: dict[str, str] | None = None) -> DataFrame:
-    """``limits`` bounds a micro-batch, e.g. maxFilesPerTrigger or maxBytesPerTrigger."""
-    lines = spark.readStream.options(**land.text_options(glob), **(limits or {})).text(landing)
+    """``limits`` bounds a micro-batch, e.g. maxFilesPerTrigger or maxBytesPerTrigger.
+
+    Spark passes over files that are a week older than the newest it has seen; here a
+    file may be ``OLDEST`` older. The driver remembers the names of files of that time, so
+    a landing zone that is never cleared may set a shorter maxFileAge in ``limits``.
+    """
+    options = {**land.text_options(glob), "maxFileAge": OLDEST, **(limits or {})}
+    lines = spark.readStream.options(**options).text(landing)
     return land.parse_lines(land.with_provenance(lines), fields, stop_on_unseen)
 
 
+def ingested_batches(spark: SparkSession, bronze_dir: str) -> DataFrame:
+    """(_ingested_at, rows) of each committed micro-batch.
+
+    A batch has one time, which Spark keeps with the batch's offsets, so a replay has it too. The
+    counts are those of the table: no crash of the driver can lose or double them.
+    """
+    return spark.read.parquet(bronze_dir).groupBy("_ingested_at").agg(F.count("*").alias("rows"))
+
+
+def _newest(spark: SparkSession, bronze_dir: str):
+    if not files.exists(spark, f"{bronze_dir}/_spark_metadata"):
+        return None
+    return spark.read.parquet(bronze_dir).agg(F.max("_ingested_at")).first()[0]
+
+
 def ingest(spark: SparkSession, landing: str, bronze_dir: str, checkpoint: str, schema_dir: str,
            glob: str = "*.ndjson", evolve: bool = True, limits: dict[str, str] | None = None) -> int:
-    """Drain new files into bronze and return the number of rows read.
+    """Drain new files into bronze and return the number of rows the table has gained.
 
     With ``evolve`` a field outside the recorded schema stops the run once:
     nothing of the batch is committed, the widened schema is recorded, and the
@@ -66,23 +90,18 @@ def ingest(spark: SparkSession, landing: str, bronze_dir: str, checkpoint: str,
     if fields is None:
         fields = dict(land.BRONZE_FIELDS)
         land.record_fields(spark, schema_dir, fields)
+    before = _newest(spark, bronze_dir)
     try:
-        return rows_ingested(drain(
-            bronze_stream(spark, landing, fields, glob, evolve, limits), bronze_dir, checkpoint))
+        drain(bronze_stream(spark, landing, fields, glob, evolve, limits), bronze_dir, checkpoint)
     except StreamingQueryException as stopped:
         if land.UNSEEN not in str(stopped):
             raise
-        new = _new_fields(spark, landing, glob, fields, bronze_dir)
+        new = land.unseen_fields(spark, land.pending_files(spark, landing, glob, bronze_dir), fields)
         land.record_fields(spark, schema_dir, {**fields, **dict.fromkeys(new, "string")})
         raise UnseenFields(new) from stopped
+    if _newest(spark, bronze_dir) is None:
+        return 0
+    gained = ingested_batches(spark, bronze_dir)
+    gained = gained if before is None else gained.filter(F.col("_ingested_at") > F.lit(before))
+    return gained.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
-
-def _new_fields(spark: SparkSession, landing: str, glob: str, fields: dict[str, str],
-                bronze_dir: str) -> list[str]:
-    """Look in files as new as the newest ingested one first; a late file with
-    an older time stamp makes it necessary to look everywhere."""
-    newest = None
-    if files.exists(spark, f"{bronze_dir}/_spark_metadata"):
-        newest = spark.read.parquet(bronze_dir).agg(F.max("_source_file_modified")).first()[0]
-    found = land.unseen_fields(spark, landing, glob, fields, newest) if newest else []
-    return found or land.unseen_fields(spark, landing, glob, fields)

@@ -5,12 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 from records import posting
 
-from boardweave.operators.latest import latest_wins
+from boardweave.operators.latest import latest_wins, version_history
 from boardweave.operators.typed import typed_postings
 from boardweave.plans.facade import bronze
 from boardweave.plans.session import STATE_STORE
 from boardweave.sources import landing as G
 from boardweave.streaming import bronze as SB
+from boardweave.streaming import history as SH
 from boardweave.streaming import silver as SS
 
 
@@ -213,3 +214,61 @@ def test_a_feed_left_half_written_lands_again(spark, area):
     G.files.remove(spark, f"{area.landing}/batch=x/_landed/board_0")
     assert G.land(records, area.landing, "x", ["board_0"]) == ["board_0"]
     assert G.read_landing(spark, area.landing, glob="*.txt").count() == whole
+
+
+def test_counts_are_those_of_the_table_after_a_crash(spark, area, monkeypatch):
+    """The driver dies after the sink's commit and before it has looked at any progress."""
+    area.put("a.ndjson", posting(Id=1), posting(Id=2))
+    with monkeypatch.context() as broken:
+        broken.setattr(SB, "finished", lambda query: (query.awaitTermination(), 1 / 0))
+        with pytest.raises(ZeroDivisionError):
+            area.ingest(spark)
+    assert area.table(spark).count() == 2
+    assert area.ingest(spark) == 0
+    area.put("b.ndjson", posting(Id=3))
+    assert area.ingest(spark) == 1
+    batches = SB.ingested_batches(spark, area.paths[0]).collect()
+    assert sorted(r["rows"] for r in batches) == [1, 2] and area.table(spark).count() == 3
+
+
+def test_a_late_old_file_stops_once_and_only_pending_files_are_read(spark, area, monkeypatch):
+    area.put("b/a.ndjson", posting(Id=1))
+    assert area.ingest(spark) == 1
+    area.put("b/late.ndjson", posting(Id=2, Shiny="new"), posting(Id=3, Other=1))
+    os.utime(f"{area.landing}/b/late.ndjson", (1, 1))
+    asked = []
+    find = G.unseen_fields
+    monkeypatch.setattr(G, "unseen_fields", lambda s, paths, known: asked.append(paths) or find(s, paths, known))
+    with pytest.raises(SB.UnseenFields) as stop:
+        area.ingest(spark)
+    assert stop.value.fields == ["Other", "Shiny"]
+    assert [[p.rsplit("/", 1)[1] for p in paths] for paths in asked] == [["late.ndjson"]]
+    assert area.ingest(spark) == 2 and area.ingest(spark) == 0
+
+
+def test_history_of_batches_in_any_order(spark, bronze_of, tmp_path):
+    days = [posting(Status=s, exported_at=f"2026-08-{n:02}T00:00:00") for n, s in enumerate("Active Closed Active Active Active Closed Active".split(), 1)]
+    other = [posting(Id="2", Status=s, exported_at=f"2026-08-01T00:{n:02}:00") for n, s in enumerate("Closed Closed Active Active Active".split(), 1)]
+    typed = typed_postings(bronze_of(*days, *other))
+    want = version_history(typed)
+    for k, order in enumerate([(6, 2, 0, 4, 1, 3, 5), (3, 5, 1, 6, 0, 2, 4)]):
+        src, log = str(tmp_path / f"in{k}"), str(tmp_path / f"log{k}")
+        for n, i in enumerate(order):
+            typed_postings(bronze_of(days[i], days[i], *other[i : i + 1])).coalesce(1).write.mode("append").parquet(src)
+            if n in (2, 6):  # several batches in one drain, and a drain after others
+                SH.history_log(SS.table_stream(spark, src, {"maxFilesPerTrigger": "1"}), log, str(tmp_path / f"cp{k}"))
+        got = SH.read_history(spark, log).select(*want.columns)
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_history_batch_that_comes_twice(spark, bronze_of, tmp_path):
+    """A batch whose commit was lost is written again, into its own folder."""
+    src, log, cp = (str(tmp_path / x) for x in ("in", "log", "cp"))
+    typed = typed_postings(bronze_of(posting(Status="Active"), posting(Status="Closed", exported_at="2026-09-01T00:00:00")))
+    typed.coalesce(1).write.parquet(src)
+    SH.history_log(SS.table_stream(spark, src), log, cp)
+    for name in ("0", ".0.crc"):
+        os.remove(f"{cp}/commits/{name}")
+    SH.history_log(SS.table_stream(spark, src), log, cp)
+    want = version_history(typed)
+    assert SH.read_history(spark, log).select(*want.columns).exceptAll(want).count() == 0 and SH.read_history(spark, log).count() == want.count()

@@ -142,6 +142,29 @@ def test_duplicate_flags_under_a_hot_key(current):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_rows_of_a_hot_key_are_split(spark, tmp_path):
+    """With a third of all rows under one key the join is split by adaptive execution, and no window holds a group."""
+    rows = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, "fp:hot").otherwise(F.concat(F.lit("fp:"), "id")).alias("dup_key"), F.concat(F.lit("b"), F.col("id") % 4).alias("board"),
+        F.col("id").cast("string").alias("source_id"), F.lit(None).cast("timestamp").alias("posted_at"), F.sha2(F.col("id").cast("string"), 512).alias("wide"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        flagged = D.flag_duplicates(rows)
+        parts = flagged.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.max("wide"), F.max("is_canonical"))
+        sizes = [r["n"] for r in parts.collect()]
+        plan = parts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert "skew=true" in plan and max(sizes) < 60_000 and sum(sizes) == 300_000
+
+
 def test_skills(bronze_of):
     typed = typed_postings(bronze_of(
         posting(Id="1", RequiredSkills='["Latte Art","latte  art",null]', Tags=["LATTE ART", "b"]),
