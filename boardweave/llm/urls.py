@@ -15,7 +15,7 @@ URLs apart best.
 All of it is DataFrame operations. A URL is counted once, however many pages have it.
 Every window of ``ORDER + 1`` characters in the table gets its log-ratio by joins
 of distinct windows with their distinct tails and contexts, where no key is
-hot. Nothing but the threshold reaches the driver.
+hot. Nothing but totals and the threshold reaches the driver.
 """
 
 from __future__ import annotations
@@ -93,9 +93,9 @@ def ratios(windows: DataFrame, order: int = ORDER) -> DataFrame:
     known = None
     for level in range(order + 1):
         own = tails(level).withColumn("context", F.substr("tail", F.lit(1), F.lit(level)))
-        if known is None:  # before any context all characters are alike
-            sums = own.agg(*totals(), F.count("*").alias("letters")).withColumn("whole", F.lit(""))
-            rows = own.join(F.broadcast(sums), F.col("context") == F.col("whole"))  # one row
+        if known is None:  # before any context all characters are alike; the totals are one row
+            whole = own.agg(*totals(), F.count("*").alias("letters")).first()
+            rows = own.select("*", *[F.lit(n).alias(c) for c, n in whole.asDict().items()])
         else:
             sums = own.groupBy(F.col("context").alias("whole")).agg(*totals())
             rows = own.join(sums, F.col("context") == F.col("whole")).join(known, F.substr("tail", F.lit(2)) == F.col("shorter"))
@@ -140,7 +140,8 @@ def scored(pages: DataFrame, rules=RULES, order: int = ORDER) -> DataFrame:
     each = each.select(
         *_identity(), rule_of(rules=rules)[1].alias("kind"), (F.ascii(F.md5("url")) % 2).alias("half"), text_of().alias("text"))
     each = written(each, "urls")
-    spread = each.select("u1", "u2", "kind", "half", F.explode(windows_of(F.col("text"), order)).alias("gram"))
+    # Dealt by URL: text this short lies in few partitions, and the sums of a URL then need no exchange of their own.
+    spread = each.repartition("u1", "u2").select("u1", "u2", "kind", "half", F.explode(windows_of(F.col("text"), order)).alias("gram"))
     counts = [F.count_if((F.col("kind") == c[:-1]) & (F.col("half") == int(c[-1]))).alias(c) for c in _COUNTS]
     windows = written(spread.groupBy("gram").agg(*counts), "windows")
     known = written(ratios(windows, order).withColumnRenamed("gram", "known"), "ratios")
