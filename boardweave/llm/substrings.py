@@ -10,7 +10,9 @@ the result. ``longest_repeats`` goes on doubling until no candidate survives.
 
 Whole copies of an earlier text are found first, by the hash of the text. A map
 task sends of equal windows only those of its earliest document and knows the
-others' fate already, so the hottest window reaches its reducer once for each
+others' fate already, and of a window that a document repeats only the first
+place, marked: the other places are found again in the text. So the hottest
+window reaches its reducer once or twice for each
 piece of a few MB of text. Reducers stream over sorted rows and hold no group.
 The texts are exchanged once; three joins read that one exchange.
 """
@@ -29,6 +31,7 @@ from boardweave.llm.batches import (
     word_hashes, words_of, written)
 
 LENGTH = 13
+FURTHER = 1 << 30  # added to a place in place of all further ones with the same window in the same text
 _OCCURRENCE = "h long, tag long, id long, spot long"
 _PLACE = "id long, spot long, n long"
 
@@ -63,10 +66,10 @@ def _text_check(words: Words) -> np.ndarray:
     return check.astype(np.int64)
 
 
-def _send(h: np.ndarray, tag: np.ndarray, ids: np.ndarray, spot: np.ndarray, last_level: bool) -> Iterator[pa.RecordBatch]:
-    """Rows for the reducers, after what this piece alone decides."""
-    order = np.lexsort((spot, ids, tag, h))
-    h, tag, ids, spot = h[order], tag[order], ids[order], spot[order]
+def _send(h: np.ndarray, tag: np.ndarray, ids: np.ndarray, spot: np.ndarray, doc: np.ndarray, last_level: bool, folded: bool = True) -> Iterator[pa.RecordBatch]:
+    """Rows for the reducers, after what this piece alone decides; ``folded``, a window that a text repeats is one row."""
+    order = np.lexsort((spot, doc, ids, tag, h))
+    h, tag, ids, spot, doc = h[order], tag[order], ids[order], spot[order], doc[order]
     if not len(h):
         return
     new = np.r_[True, (h[1:] != h[:-1]) | (tag[1:] != tag[:-1])]
@@ -79,7 +82,14 @@ def _send(h: np.ndarray, tag: np.ndarray, ids: np.ndarray, spot: np.ndarray, las
     else:  # both ends of a repeated group tell the reducer that it has two documents
         known = least != most
         go = ~known | (np.arange(len(h)) == cut[group]) | (np.arange(len(h)) == end[group])
-    yield pa.RecordBatch.from_arrays([pa.array(x[go]) for x in (h, tag, ids, spot)], ["h", "tag", "id", "spot"])
+    sent = [x[go] for x in (h, tag, ids, spot)]
+    if folded and go.any():
+        one = np.r_[True, (group[go][1:] != group[go][:-1]) | (doc[go][1:] != doc[go][:-1])]
+        many = np.diff(np.r_[np.flatnonzero(one), len(one)]) > 1
+        sent = [x[one] for x in sent]
+        # Rows of a group that is decided here stand for themselves: their places are all known.
+        sent[3] = sent[3] + np.where(many & ~known[go][one], FURTHER, 0)
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in sent], ["h", "tag", "id", "spot"])
     ids, spot = ids[known], spot[known]
     order = np.lexsort((spot, ids))
     ids, spot = ids[order], spot[order]
@@ -101,7 +111,7 @@ def _first_level(length: int):
             at = np.flatnonzero(chosen)
             doc = np.searchsorted(words.first, at, "right") - 1
             ids = piece.column("id").to_numpy(zero_copy_only=False)[doc]
-            yield from _send(h[at].view(np.int64), np.zeros(len(at), np.int64), ids, at - words.first[doc], False)
+            yield from _send(h[at].view(np.int64), np.zeros(len(at), np.int64), ids, at - words.first[doc], doc, False)
 
     return run
 
@@ -116,8 +126,14 @@ def _extended(length: int):
             alive = np.zeros(len(h) + length, bool)
             lists = piece.column("places")
             sizes = np.diff(lists.offsets.to_numpy())
-            places = lists.flatten().to_numpy(zero_copy_only=False) + np.repeat(words.first[:-1], sizes)
-            alive[places[places < len(h)]] = True  # places of another text with this id may lie beyond
+            places, first = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(words.first[:-1], sizes)
+            further = places >= FURTHER
+            places = np.where(further, places - FURTHER, places) + first
+            inside = places < len(h)  # places of another text with this id may lie beyond
+            alive[places[inside]] = True
+            if further.any():  # all places of the text with the same short window
+                text = mixed(np.searchsorted(words.first, np.arange(len(h)), "right").astype(np.uint64)) ^ h
+                alive[: len(h)] |= np.isin(text, text[places[inside & further]])
             keep = np.zeros(len(starts), bool)
             for ahead in range(length - _short(length) + 1):
                 keep |= (h[starts + ahead] == least[starts]) & alive[starts + ahead]
@@ -128,7 +144,7 @@ def _extended(length: int):
             doc = np.searchsorted(words.first, at, "right") - 1
             check = _text_check(words)
             ids = piece.column("id").to_numpy(zero_copy_only=False)[doc]
-            yield from _send(full, other, ids, (check[doc] << 32) | (at - words.first[doc]), True)
+            yield from _send(full, other, ids, (check[doc] << 32) | (at - words.first[doc]), doc, True)
 
     return run
 
@@ -220,6 +236,12 @@ def _covered(base: DataFrame, length: int) -> DataFrame:
         *base.columns, "runs", F.col("copy_id").isNotNull().alias("copied"))
 
 
+def _same_windows(words: list[bytes], at: np.ndarray, length: int) -> np.ndarray:
+    """Starts of all windows that are equal to those at these places."""
+    wanted = {tuple(words[i : i + length]) for i in at.tolist()}
+    return np.array([i for i in range(len(words) - length + 1) if tuple(words[i : i + length]) in wanted], np.int64)
+
+
 def _kept(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[tuple[pa.RecordBatch, list[tuple[list[bytes], int]]]]:
     """Pieces with, for each text, the words that stay and the number of words."""
     for piece in slices(batches):
@@ -237,9 +259,14 @@ def _kept(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[tuple[pa.R
                 spot, size = (flat.field(c).to_numpy(zero_copy_only=False) for c in (0, 1))
                 mine = (spot >> 32) == check[d]
                 change = np.zeros(n + 1, np.int64)
-                at = spot[mine] & 0xFFFFFFFF
+                at, size = spot[mine] & 0xFFFFFFFF, size[mine]
+                further = at >= FURTHER
+                if further.any():
+                    at = np.where(further, at - FURTHER, at)
+                    same = _same_windows(own, at[further], length)
+                    at, size = np.r_[at, same], np.r_[size, np.ones(len(same), np.int64)]
                 np.add.at(change, at, 1)
-                np.add.at(change, np.minimum(at + size[mine] + length - 1, n), -1)
+                np.add.at(change, np.minimum(at + size + length - 1, n), -1)
                 own = [own[i] for i in np.flatnonzero(np.cumsum(change[:-1]) == 0)]
             found.append((own, n))
         yield piece, found
@@ -346,6 +373,6 @@ def _windows(size: int):
                 at = at[alive[at] & alive[at + size // 2]]
             h = window_hashes(word_hashes(words), size)[at].view(np.int64)
             doc = np.searchsorted(words.first, at, "right") - 1
-            yield from _send(h, np.zeros(len(at), np.int64), piece.column("id").to_numpy(zero_copy_only=False)[doc], at - words.first[doc], False)
+            yield from _send(h, np.zeros(len(at), np.int64), piece.column("id").to_numpy(zero_copy_only=False)[doc], at - words.first[doc], doc, False, False)
 
     return run

@@ -102,6 +102,29 @@ def test_many_shared_passages_over_small_pieces(llm, monkeypatch):
     assert rows(substrings.repeated_word_digests(docs)) == sorted(brute.repeated_words(known), key=repr)
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_windows_that_one_text_repeats(llm, parts):
+    """Texts of few words, which repeat their own windows many times; only other texts' windows count."""
+    chance = np.random.default_rng(parts)
+    line = " ".join(f"w{i}" for i in range(9))
+    texts = [" ".join(chance.choice(list("ab"), 60)) for _ in range(6)] + ["x " * 90, "y z " * 50, "x " * 30, f"{line} " * 30, f"q {line} {line} r", "x " * 12, "x " * 13]
+    texts += [f"{line} " * 3 + " ".join(chance.choice(list("cd"), 40)) for _ in range(3)] + ["z y " * 40 + "end"]
+    docs = [(int(i), texts[i]) for i in chance.permutation(len(texts))]
+    given = llm.createDataFrame(docs, "doc_id long, text string").repartition(parts)
+    assert rows(substrings.repeated_word_digests(given)) == sorted(brute.repeated_words(docs), key=repr)
+
+
+def test_rows_of_one_id_that_repeat_windows(llm):
+    """Places of two texts with one id are not taken for each other's."""
+    window = " ".join(f"v{i}" for i in range(13))
+    docs = [(1, window), (5, f"a b {window} c {window}"), (5, f"{window} {window} d"), (5, "x " * 30 + window), (6, f"{window} e")]
+    for parts in (1, 4):
+        found = rows(substrings.repeated_word_digests(llm.createDataFrame(docs, "doc_id long, text string").repartition(parts)))
+        want = [(1, 13, 0, ""), (5, 29, 26, "a b c"), (5, 27, 26, "d"), (5, 43, 13, "x " * 29 + "x"), (6, 14, 13, "e")]
+        assert [f[:3] for f in found] == sorted((d, n, m) for d, n, m, _ in want)
+        assert {f[3] for f in found} == {hashlib.sha256((t or window).encode()).hexdigest() for *_, t in want}
+
+
 def test_texts_without_repeats_keep_their_columns(odd):
     kept = substrings.without_repeats(odd)
     assert kept.columns == odd.columns and dict(kept.dtypes) == dict(odd.dtypes)
