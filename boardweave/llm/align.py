@@ -20,14 +20,17 @@ more distinct pairs is passed over once for each block.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
+import uuid
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
@@ -38,10 +41,13 @@ BLOCK = 1 << 22  # pairs that workers hold at once
 FAN = 4  # vectors that are summed at once
 HELD = 1 << 21  # pairs that a task of the first pass gathers before it sends them
 SEGMENT = 1 << 20  # characters of a text whose units are held at once
-CACHE = 1 << 25  # characters of the units that a worker remembers
+CACHE = 1 << 24  # characters of the units that a worker remembers
 B_BITS = 20  # a pair is the first id shifted by these, and the second one
 _CUT = re.compile(r"(?<=\S) ")
 _MIXED = re.compile(r"\s ")
+#: Units that are encoded together: any signs below U+0250 but white space, controls and the like.
+_JOINED = re.compile(r"\S\Z")
+_PLAIN = re.compile(r"[!-~\u00a1-\u00ac\u00ae-\u024f]+")
 
 
 def units_of(text: str) -> list[str]:
@@ -71,47 +77,35 @@ class _Grown:
         self.size += len(more)
 
 
-def linked(a: list[int], b: list[int], a_size: list[int], b_size: list[int]) -> tuple[list[int], int, str]:
-    """Pairs of two token rows over the same bytes whose ranges overlap, the number of groups, and the groups as text."""
-    pairs, groups, i, j, a_end, b_end, left, right = [], [], 0, 0, a_size[0], b_size[0], [a[0]], [b[0]]
-    while True:
-        pairs.append(a[i] << B_BITS | b[j])
-        if a_end == b_end:
-            groups.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-            left, right = [], []
-        first, second = a_end <= b_end, b_end <= a_end
-        if first:
-            i += 1
-            if i == len(a):
-                return pairs, len(groups), ";".join(groups)
-        if second:
-            j += 1
-        if first:
-            a_end += a_size[i]
-            left.append(a[i])
-        if second:
-            b_end += b_size[j]
-            right.append(b[j])
-
-
 class Aligner:
     """Encodes and aligns units, and remembers them.
 
     For each unit: 0 or 1 whether the bytes of both rows are those of the unit,
     the numbers of tokens, groups and links, and the sums that ``lookup`` gives for its links.
+    Most new units are encoded together, as one text: those of Latin letters and
+    common signs. For these a faster library with the first vocabulary is used, if there is one.
     """
 
     NAMES = ("ok", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
-    def __init__(self, a_path: str, b_path: str, lookup: Lookup | None = None) -> None:
-        self.a, self.b, self.lookup = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path), lookup
+    def __init__(self, a_path: str, b_path: str, a_fast: tuple[str, str] | None = None) -> None:
+        self.a, self.b, self.lookup, self.pass_ = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path), None, ""
         self.a.encode_special_tokens = True
         self.a.no_truncation()
         self.a.no_padding()
+        self.fast = None
+        if a_fast:
+            path, pattern = a_fast
+            with open(path, "rb") as lines:
+                ranks = {base64.b64decode(t): int(i) for t, i in map(bytes.split, lines)}
+            self.fast = tiktoken.Encoding("aligned", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         signs = _byte_signs()
-        self.a_bytes = {i: bytes(signs[c] for c in t) if all(c in signs for c in t) else t.encode() for t, i in self.a.get_vocab().items()}
+        vocabulary = self.a.get_vocab()
+        a_bytes = {i: bytes(signs[c] for c in t) if all(c in signs for c in t) else t.encode() for t, i in vocabulary.items()}
+        self.a_bytes = [a_bytes.get(i, b"") for i in range(max(a_bytes) + 1)]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.sizes = [np.array([len(x) for x in held], np.int64) for held in (self.a_bytes, self.b_bytes)]
         self.space = [self.b.piece_to_id("▁")]
         self._forget()
 
@@ -122,37 +116,79 @@ class Aligner:
         self.values, self.keys, self.begin = [_Grown() for _ in self.NAMES], _Grown(), _Grown()
         self.begin.add(np.zeros(1, np.int64))
 
+    def look_up(self, pass_: str, lookup: Lookup | None) -> None:
+        """From now on sums are by this lookup, those of the units that are known too."""
+        if pass_ != self.pass_:
+            self.pass_, self.lookup = pass_, lookup
+            begin = self.begin.data[: self.begin.size]
+            for grown, column in zip(self.values[-2:], self._found(self.keys.data[: self.keys.size], begin[1:]), strict=True):
+                grown.data[: grown.size] = column
+
+    def _found(self, keys: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """For units whose links end at these places: links with the highest count of their first id, and the sum of counts."""
+        found = self.lookup.of(keys) if self.lookup else (np.zeros(len(keys), np.int64),) * 2
+        return [np.diff(np.r_[0, np.cumsum(x)][np.r_[0, ends]]) for x in found]
+
     def numbers(self, units: list[str]) -> np.ndarray:
         """The number of each unit, good until the next call."""
         try:
             return np.array(list(map(self.slot.__getitem__, units)), np.int64)
         except KeyError:
-            if self.held > CACHE:
-                self._forget()
-            self._learn([u for u in dict.fromkeys(units) if u not in self.slot])
+            self._meet(dict.fromkeys(units))
             return np.array(list(map(self.slot.__getitem__, units)), np.int64)
 
-    def _learn(self, units: list[str]) -> None:
-        rows_a = [e.ids for e in self.a.encode_batch([" " + u for u in units], add_special_tokens=False)]
-        rows_b = [r if u else self.space for u, r in zip(units, self.b.encode(units, num_threads=1), strict=True)]
-        values, keys, sizes = [], [], []
-        for unit, a, b in zip(units, rows_a, rows_b, strict=True):
-            bytes_a, bytes_b, whole = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b], f" {unit}".encode()
-            ok = b"".join(bytes_a) == whole == b"".join(bytes_b)
-            pairs, groups, text = linked(a, b, [*map(len, bytes_a)], [*map(len, bytes_b)]) if ok else ([], 0, "")
-            self.slot[unit] = len(self.text)
-            self.text.append(text)
-            self.held += len(unit) + 8
-            values.append((ok, len(a), len(b), groups, len(pairs)))
-            keys.extend(pairs)
-            sizes.append(len(pairs))
-        keys = np.array(keys, np.int64)
-        ends = np.cumsum(sizes)
-        best, count = self.lookup.of(keys) if self.lookup else (np.zeros(len(keys), np.int64),) * 2
-        sums = [np.diff(np.r_[0, np.r_[0, np.cumsum(x)][ends]]) for x in (best, count)]
-        for grown, column in zip(self.values, [*np.array(values, np.int64).T, *sums], strict=True):
+    def ready(self, texts: list[str | None]) -> None:
+        """Learns what is new in all these texts at once."""
+        self._meet({u for t in texts if t and len(t) <= SEGMENT for u in units_of(t)})
+
+    def _meet(self, units: Iterable[str]) -> None:
+        if self.held > CACHE:
+            self._forget()
+        plain, joined, alone = [], [], []
+        for u in units:
+            if u not in self.slot:
+                (plain if self.fast and _PLAIN.fullmatch(u) else joined if _JOINED.search(u) and "▁" not in u else alone).append(u)
+        if plain:
+            self._learn(plain, self.fast.encode_ordinary(f" {' '.join(plain)}"), self.b.encode(" ".join(plain)))
+        if joined:  # none ends with white space, so all begin at a cut
+            self._learn(joined, self.a.encode(f" {' '.join(joined)}", add_special_tokens=False).ids, self.b.encode(" ".join(joined)))
+        for u in alone:
+            self._learn([u], self.a.encode(f" {u}", add_special_tokens=False).ids, self.b.encode(u) if u else self.space)
+
+    def _learn(self, units: list[str], a: list[int], b: list[int]) -> None:
+        """Units that stand one after another in both rows of tokens."""
+        whole = "".join(f" {u}" for u in units).encode()
+        ok = b"".join(map(self.a_bytes.__getitem__, a)) == whole == b"".join(map(self.b_bytes.__getitem__, b))
+        if not ok and len(units) > 1:
+            for u in units:
+                self._learn([u], self.a.encode(f" {u}", add_special_tokens=False).ids, self.b.encode(u))
+            return
+        for u in units:
+            self.slot[u] = len(self.slot)
+            self.held += len(u) + 8
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        if not ok:
+            values = [np.array([x], np.int64) for x in (0, len(a), len(b), 0, 0)]
+            keys, cut, texts = np.zeros(0, np.int64), np.zeros(1, np.int64), [""]
+        else:
+            # Between two neighbouring ends, of either row, one token of each lies over the same bytes: a link.
+            a_ends, b_ends = (np.cumsum(sizes[row]) for sizes, row in zip(self.sizes, (a, b), strict=True))
+            ends = np.union1d(a_ends, b_ends)
+            keys = a[np.searchsorted(a_ends, ends)] << B_BITS | b[np.searchsorted(b_ends, ends)]
+            both = np.intersect1d(a_ends, b_ends, assume_unique=True)
+            unit_ends = np.cumsum([len(u.encode()) + 1 for u in units])
+            found = [np.searchsorted(x, unit_ends, "right") for x in (a_ends, b_ends, both, ends)]
+            values = [np.ones(len(units), np.int64), *(np.diff(np.r_[0, x]) for x in found)]
+            cut = found[3]
+            a_upto, b_upto = ([0, *np.searchsorted(x, both, "right").tolist()] for x in (a_ends, b_ends))
+            left, right = list(map(str, a.tolist())), list(map(str, b.tolist()))
+            groups = [f"{','.join(left[i:j])}|{','.join(right[k:m])}" for i, j, k, m in zip(a_upto, a_upto[1:], b_upto, b_upto[1:], strict=False)]
+            upto = [0, *found[2].tolist()]
+            texts = [";".join(groups[i:j]) for i, j in zip(upto, upto[1:], strict=False)]
+        for grown, column in zip(self.values, [*values, *self._found(keys, cut)], strict=True):
             grown.add(column)
-        self.begin.add(self.keys.size + ends)
+        self.text += texts
+        self.begin.add(self.keys.size + cut)
         self.keys.add(keys)
 
     def sums(self, text: str) -> tuple[dict[str, int], str] | None:
@@ -242,22 +278,36 @@ class Lookup(NamedTuple):
     best: np.ndarray
 
     def of(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each pair's count is its first id's highest, and the count; zeros for pairs of other shards."""
+        """Whether each pair's count is its first id's highest, and the count; zeros for pairs of other shards.
+
+        A pair whose key is not at its place was in no document that counts, and has zeros too.
+        """
         count = np.zeros(len(pairs), np.int64)
         shard = shards_of(pairs, self.shards)
         for own in np.unique(shard).tolist():
             if own in self.functions:
                 at = np.flatnonzero(shard == own)
                 place = self.functions[own].index(pairs[at])
-                if (place < 0).any() or (self.keys[own][place] != pairs[at]).any():
-                    raise ValueError("a pair of the second pass was not in the first")
-                count[at] = self.counts[own][place]
+                known = (place >= 0) & (self.keys[own][place] == pairs[at])
+                count[at[known]] = self.counts[own][place[known]]
         return ((count == self.best[pairs >> B_BITS]) & (count > 0)).astype(np.int64), count
 
 
-def _gathered(a_path: str, b_path: str):
+_kept: dict[tuple, Aligner] = {}
+
+
+def _aligner(paths: tuple, pass_: str = "", lookup: Lookup | None = None) -> Aligner:
+    """A worker's own: its tasks, and both passes, share what it has learned."""
+    if paths not in _kept:
+        _kept.clear()
+        _kept[paths] = Aligner(*paths)
+    _kept[paths].look_up(pass_, lookup)
+    return _kept[paths]
+
+
+def _gathered(paths: tuple):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, held, size = Aligner(a_path, b_path), [], 0
+        aligner, held, size = _aligner(paths), [], 0
 
         def summed(parts: list) -> tuple[np.ndarray, np.ndarray]:
             keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -271,7 +321,9 @@ def _gathered(a_path: str, b_path: str):
                 yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in (keys, counts)], ["pair", "n"])
 
         for piece in slices(batches):
-            found = [aligner.pairs(t) for t in piece.column("text").to_pylist() if t]
+            texts = [t for t in piece.column("text").to_pylist() if t]
+            aligner.ready(texts)
+            found = [aligner.pairs(t) for t in texts]
             if not any(map(len, found)):
                 continue
             own, n = np.unique(np.concatenate(found), return_counts=True)
@@ -387,15 +439,18 @@ def _function(row) -> PerfectHash:
 _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-def _reported(a_path: str, b_path: str, lookup: Lookup | None, last: bool):
+def _reported(paths: tuple, lookup: Lookup | None, last: bool):
     """Adds what this block's pairs give; the last block's rows have all columns but the text."""
+    pass_ = uuid.uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(a_path, b_path, lookup)
+        aligner = _aligner(paths, pass_, lookup)
         for piece in slices(batches):
             columns: list[list] = [[] for _ in range(7)]
             before = [piece.column(c).to_pylist() for c in ("n_best", "count_sum")]
-            for k, text in enumerate(piece.column("text").to_pylist()):
+            texts = piece.column("text").to_pylist()
+            aligner.ready(texts)
+            for k, text in enumerate(texts):
                 found = aligner.sums(text) if text else None
                 sums, sha = found or (dict.fromkeys(Aligner.NAMES, 0), "")
                 row = [*(sums[c] for c in Aligner.NAMES[1:5]), sums["n_best"] + before[0][k], sums["count_sum"] + before[1][k], sha]
@@ -410,10 +465,10 @@ def _reported(a_path: str, b_path: str, lookup: Lookup | None, last: bool):
     return run
 
 
-def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> tuple[list[tuple[DataFrame, DataFrame]], int]:
+def pair_counts(docs: DataFrame, paths: tuple) -> tuple[list[tuple[DataFrame, DataFrame]], int]:
     """For each block of shards its hash functions and its count vectors, as written tables, and the number of shards."""
     spark = docs.sparkSession
-    found = written(docs.select("text").mapInArrow(_gathered(a_path, b_path), "pair long, n long"), "pairs")
+    found = written(docs.select("text").mapInArrow(_gathered(paths), "pair long, n long"), "pairs")
     each = written(found.select("pair").distinct(), "distinct")
     many, rows = each.count(), found.count()
     shards = -(-many // SHARD)
@@ -446,15 +501,17 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> tuple[list[tuple[D
     return out, shards
 
 
-def alignments(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+def alignments(docs: DataFrame, a_path: str, b_path: str, a_fast: tuple[str, str] | None = None) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every row.
 
     Null and empty texts, and texts that a tokenizer does not give back byte by
     byte, have zeros and an empty string, and count for no pair. Rows that
     share an id or are alike are documents of their own. Only ``doc_id`` and ``text`` are read.
+    ``a_fast`` is a rank file with the first vocabulary and the pattern that cuts its pieces.
     """
+    paths = (a_path, b_path, a_fast)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    blocks, shards = pair_counts(docs, a_path, b_path)
+    blocks, shards = pair_counts(docs, paths)
     size = Tokenizer.from_file(a_path).get_vocab_size()
     best = np.zeros(size + 1, np.int64)
     for functions, vectors in blocks:
@@ -462,7 +519,7 @@ def alignments(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
             best[first] = max(best[first], n)
     rows = docs.withColumns({"n_best": F.lit(0).cast("long"), "count_sum": F.lit(0).cast("long")})
     for functions, vectors in blocks[:-1]:
-        run = _reported(a_path, b_path, _lookup(functions, vectors, shards, best), False)
+        run = _reported(paths, _lookup(functions, vectors, shards, best), False)
         rows = written(rows.mapInArrow(run, "doc_id long, text string, n_best long, count_sum long"), "block")
     lookup = _lookup(*blocks[-1], shards, best) if blocks else None
-    return rows.mapInArrow(_reported(a_path, b_path, lookup, True), _RESULT)
+    return rows.mapInArrow(_reported(paths, lookup, True), _RESULT)

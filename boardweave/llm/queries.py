@@ -78,7 +78,7 @@ def op11_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return align.alignments(table(ship(spark), sf_dir, "documents"), BYTE_BPE[0], PIECE_BPE)
+    return align.alignments(table(ship(spark), sf_dir, "documents"), BYTE_BPE[0], PIECE_BPE, BYTE_BPE[1:])
 
 
 def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,9 +10,9 @@ from odd_rows import ODD
 
 from boardweave.llm import align, queries
 
-A, B = queries.BYTE_BPE[0], queries.PIECE_BPE
+A, B, FAST = queries.BYTE_BPE[0], queries.PIECE_BPE, queries.BYTE_BPE[1:]
 SIGNS = [" ", " ", "  ", "\n", "\t", "a", "b", "The", "é", "日本", "▁", "'s", "don't", "1", "23", "...", "\x00", "\xa0", "\u3000", "<|endoftext|>", "<0x41>", "</s>", "xxx",
-         "\x1c", "\x85", "\r\n", "😀", "ab c", "_", "\u2028"]
+         "\x1c", "\x85", "\r\n", "😀", "ab c", "_", "\u2028", " straße", " Ĳssel'll", " x²½", " ǅ", " ñandú,", " 12ª", " (¡no!)", " \xad", " ʼn"]
 
 
 @pytest.fixture(scope="module")
@@ -20,10 +20,10 @@ def plain():
     return brute.Alignment(A, B)
 
 
-@pytest.mark.parametrize("segment", [1 << 20, 5])
-def test_units_give_what_whole_texts_give(plain, monkeypatch, segment):
+@pytest.mark.parametrize(("segment", "fast"), [(1 << 20, None), (1 << 20, FAST), (5, FAST)])
+def test_units_give_what_whole_texts_give(plain, monkeypatch, segment, fast):
     monkeypatch.setattr(align, "SEGMENT", segment)
-    aligner, chance = align.Aligner(A, B), random.Random(1)
+    aligner, chance = align.Aligner(A, B, fast), random.Random(1)
     for _ in range(1500):
         text = "".join(chance.choices(SIGNS, k=chance.randint(1, 14)))
         want, got = plain.of(text), aligner.sums(text)
@@ -37,9 +37,16 @@ def test_units_give_what_whole_texts_give(plain, monkeypatch, segment):
             assert not len(aligner.pairs(text))
 
 
+def test_units_encoded_together_are_those_of_the_given_table(llm, plain):
+    aligner = align.Aligner(A, B, FAST)
+    for r in llm.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) < 4000").collect():
+        want, (sums, sha) = plain.of(r.text), aligner.sums(r.text)
+        assert [sums[c] for c in ("n_a", "n_b", "n_links")] == [want[0], want[1], len(want[3])] and sha == hashlib.sha256(";".join(want[2]).encode()).hexdigest()
+
+
 def test_units_are_forgotten_when_there_are_too_many(monkeypatch, plain):
     monkeypatch.setattr(align, "CACHE", 40)
-    aligner = align.Aligner(A, B)
+    aligner = align.Aligner(A, B, FAST)
     for k in range(30):
         text = f"some words number {k} and {k} again"
         assert aligner.sums(text)[0]["n_a"] == plain.of(text)[0]
@@ -54,12 +61,21 @@ def test_perfect_hash_is_minimal(n):
     assert len(function.words) * 64 < 4 * n + 500
 
 
-def test_pairs_that_were_never_counted_are_told(llm):
-    function = align.PerfectHash.build(np.array([5, 6]))
-    lookup = align.Lookup(1, {0: function}, {0: np.array([5, 6])[np.argsort(function.index(np.array([5, 6])))]}, {0: np.array([1, 1])}, np.array([1]))
-    assert lookup.of(np.array([5, 6, 5]))[1].tolist() == [1, 1, 1]
-    with pytest.raises(ValueError):
-        lookup.of(np.array([7]))
+def test_pairs_that_were_never_counted_have_zeros():
+    keys = np.array([5 << align.B_BITS, 6 << align.B_BITS])
+    function = align.PerfectHash.build(keys)
+    held = np.empty_like(keys)
+    held[function.index(keys)] = keys
+    lookup = align.Lookup(1, {0: function}, {0: held}, {0: np.array([1, 1])}, np.ones(9, np.int64))
+    best, count = lookup.of(np.array([*keys, 7, 5 << align.B_BITS | 1, keys[0]]))
+    assert count.tolist() == [1, 1, 0, 0, 1] == best.tolist()
+
+
+def test_words_of_texts_without_tokens_are_not_counted(llm, plain):
+    """The second text has a sign that the second tokenizer does not give back; its words stand nowhere else."""
+    docs = [(1, "some words here"), (2, "strangely unusual words \u2581 zebra"), (3, "words here"), (4, None)]
+    given = llm.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    assert sorted(map(tuple, align.alignments(given, A, B, FAST).collect())) == sorted(plain.report(docs))
 
 
 @pytest.mark.parametrize(("shard", "block", "held"), [(1 << 17, 1 << 22, 1 << 21), (64, 256, 50)])
@@ -67,7 +83,7 @@ def test_alignments_against_whole_texts(llm, odd, none, plain, monkeypatch, shar
     """Odd rows, with one shard, and with many shards in several blocks."""
     for name, value in (("SHARD", shard), ("BLOCK", block)):
         monkeypatch.setattr(align, name, value)
-    found = align.alignments(odd, A, B)
+    found = align.alignments(odd, A, B, FAST)
     assert found.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     small = [(d, t) for d, t in ODD if len(t or "") < 20_000]
     long = [(d, t) for d, t in ODD if len(t or "") >= 20_000]
@@ -75,7 +91,7 @@ def test_alignments_against_whole_texts(llm, odd, none, plain, monkeypatch, shar
     got = sorted(map(repr, map(tuple, found.collect())))
     if want is not None:
         assert got == sorted(map(repr, plain.report(small)))
-    assert len(got) == len(ODD) and align.alignments(none, A, B).collect() == []
+    assert len(got) == len(ODD) and align.alignments(none, A, B, FAST).collect() == []
 
 
 def test_sums_of_many_parts(llm, plain, monkeypatch):
@@ -83,4 +99,4 @@ def test_sums_of_many_parts(llm, plain, monkeypatch):
     docs = [(i, f"common words of all and {'the' * (i % 4)} {i % 5}") for i in range(60)]
     monkeypatch.setattr(align, "FAN", 2)
     given = llm.createDataFrame(docs, "doc_id long, text string").repartition(40)
-    assert sorted(map(tuple, align.alignments(given, A, B).collect())) == sorted(plain.report(docs))
+    assert sorted(map(tuple, align.alignments(given, A, B, FAST).collect())) == sorted(plain.report(docs))
