@@ -31,6 +31,7 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 HEIGHT = 9  # levels of a stored row
 WIDTH = 1 << HEIGHT
 CHUNK = 1 << 16  # leaves that go through the same upper rows; no wider than two stored rows
+FEW_ROWS = 1 << 11  # stored rows, 64 MB of digests, that are sent to every executor; more are dealt out by their key
 _ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
 
 
@@ -153,7 +154,7 @@ def _steps(many: str) -> Column:
     return F.greatest(F.lit(1), F.ceil(_levels(many) / HEIGHT)).cast("int")
 
 
-def _climb(leaves: str, nodes: str) -> str:
+def _climb(leaves: str, nodes: str, hint: str = "") -> str:
     """The recursive query over these views."""
     turns = f"filter(sequence(0, {HEIGHT - 1}), j -> j < n.height)"
     beside = "substring(element_at(n.levels, j + 1), cast(32 * (shiftright(c.place, j) ^ 1) + 1 as int), 32)"
@@ -163,7 +164,7 @@ def _climb(leaves: str, nodes: str) -> str:
         WITH RECURSIVE climb(doc_id, leaf, tree, chunk, step, no, place, folded, siblings, subroot, root) AS (
             SELECT doc_id, leaf, tree, at div {CHUNK}, 0, at div {WIDTH}, at % {WIDTH}, coalesce(seen, leaf), X'', X'', X'' FROM {leaves}
             UNION ALL
-            SELECT c.doc_id, c.leaf, c.tree, c.chunk, if(n.root, -1, c.step + 1), n.up, n.up_place,
+            SELECT {hint} c.doc_id, c.leaf, c.tree, c.chunk, if(n.root, -1, c.step + 1), n.up, n.up_place,
                    aggregate({turns}, c.folded, (held, j) -> {folded}),
                    concat(c.siblings, unhex(array_join(transform({turns}, j -> hex({beside})), ''))),
                    if(n.subroot, n.top, c.subroot), if(n.root, n.top, c.root)
@@ -176,10 +177,11 @@ def climbed(spark: SparkSession, folder: str) -> DataFrame:
     names = [f"merkle_{what}_{uuid.uuid4().hex}" for what in ("leaves", "nodes")]
     for name, what in zip(names, ("leaves", "nodes"), strict=True):
         spark.read.parquet(f"{folder}/{what}").createOrReplaceTempView(name)
+    hint = "/*+ BROADCAST(n) */" if spark.table(names[1]).count() <= FEW_ROWS else ""
     before = spark.conf.get(_ROW_LIMIT)
     spark.conf.set(_ROW_LIMIT, "-1")  # a row for each leaf and step
     try:
-        return written(spark.sql(_climb(*names)), "climbed")
+        return written(spark.sql(_climb(*names, hint)), "climbed")
     finally:
         spark.conf.set(_ROW_LIMIT, before)
         for name in names:
