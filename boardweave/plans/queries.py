@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -1056,6 +1057,35 @@ def _(spark, d):
         F.count("*").alias("n"), F.lit(stopped_by).alias("stopped_by"))
 
 
+@query("failed_stream_leaves_no_rows", O.over("typed", "SELECT board, count(*) AS n FROM typed WHERE board < 'board_4' GROUP BY 1"))
+def _(spark, d):
+    """A board that arrives without identities stops its micro-batch: the table keeps what was there before, and no row of the batch."""
+    work = fresh_dir(spark, "stopped")
+    rows, paths = facade(spark, d), (f"{work}/typed", f"{work}/checkpoint")
+    rows.where(F.col("board").isin(*_BOARDS[:4])).write.parquet(f"{work}/bronze")
+    SS.stream_typed(SS.table_stream(spark, f"{work}/bronze"), *paths)
+    nameless = F.when(F.col("board") != _BOARDS[-1], F.col("Id"))
+    rows.where(F.col("board").isin(*_BOARDS[4:])).withColumn("Id", nameless).write.mode("append").parquet(f"{work}/bronze")
+    try:
+        SS.stream_typed(SS.table_stream(spark, f"{work}/bronze"), *paths)
+    except StreamingQueryException as stopped:
+        if "source_identity_present" not in str(stopped):
+            raise
+    return spark.read.parquet(paths[0]).groupBy("board").agg(F.count("*").alias("n"))
+
+
+@query("full_refresh", O.over("postings", "SELECT 'refreshed' AS run, board, count(*) AS n, count_if(is_canonical) AS canonical FROM postings GROUP BY 2"))
+def _(spark, d):
+    """A run with fresh state and checkpoints replays everything from bronze, whatever an earlier run has seen."""
+    work = fresh_dir(spark, "refreshed")
+    rows = facade(spark, d)
+    for k, arrived in enumerate((_BOARDS[:4], _BOARDS[4:])):
+        rows.where(F.col("board").isin(*arrived)).write.mode("append").parquet(f"{work}/bronze")
+        silver_run_incremental(spark, f"{work}/bronze", f"{work}/state{k}", f"{work}/out", as_of=AS_OF, with_marts=False)
+    return read_published(spark, f"{work}/out", "postings").groupBy(F.lit("refreshed").alias("run"), "board").agg(
+        F.count("*").alias("n"), F.count_if("is_canonical").alias("canonical"))
+
+
 @query("silver_run_incremental", O.over("postings", O.POSTINGS_SELECT + "postings"))
 def _(spark, d):
     """Boards that arrive in two rounds, each typed once, give the postings of a run over all of them."""
