@@ -15,9 +15,9 @@ that may be alike are compared exactly. Equal sets are one node throughout.
 
 Of a bucket of equal keys all nodes are first compared with the least one: a
 join and not a window, so that a hot bucket is split. Buckets whose nodes are in
-one class by then are done. The others are searched for pairs of different
-classes, in blocks of bounded size: once for a forest of pairs, then for all
-pairs that are left. What leaves a bucket is likely alike, and is verified.
+one class by then are done. In the others all pairs of different classes are
+compared, in blocks of bounded size that hold the sets with 32 bits of each shingle, and
+links that connect classes leave a bucket: no more than it has nodes. They are verified like the first.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ LEAST = (4, 5)  # the least similarity
 SEGMENTS, SEGMENT, PARTS = 10, 23, 4  # segments of a fingerprint, bits of each, and 64-bit parts
 #: Differing bits of 256 that pairs within the least similarity do not exceed: 39 are expected, 48 of the smallest sets, with a deviation of 6.
 MOST_BITS = 76
-BLOCK = 1 << 11  # nodes of a bucket that are compared with each other at once
+BLOCK = 1 << 10  # nodes of a bucket that are compared with each other at once
 FEW = 1 << 20  # rows of longs that are small enough for every executor
 ROWS = 1000  # texts in a batch
 _PRINT = [f"f{i}" for i in range(PARTS)]
@@ -186,14 +186,18 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> tuple[DataFrame, int]:
     return _counted(out.where(_sizes_fit("nu", "nv") & (differ <= MOST_BITS)).select("u", "v"), "pairs")
 
 
-def _verified(pairs: DataFrame, n: int, docs: DataFrame, nodes: DataFrame) -> tuple[DataFrame, int]:
-    """The ``n`` pairs (u, v) whose sets are alike, and how many they are. Sets are made of one row of each node that is in a pair."""
-    ends = pairs.select(F.col("u").alias("w")).union(pairs.select("v"))
-    shown = nodes.join(few(ends, 2 * n), F.col("node") == F.col("w"), "left_semi").select(F.col("shown").alias("shown_row"))
+def _sets_of(ends: DataFrame, n: int, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, shingles) of the nodes in ``ends`` (w), of ``n`` rows, made of one row of each."""
+    shown = nodes.join(few(ends, n), F.col("node") == F.col("w"), "left_semi").select(F.col("shown").alias("shown_row"))
     shown, rows = _counted(shown, "shown")
     texts = docs.join(few(shown, rows), F.col("row") == F.col("shown_row"), "left_semi").select("text")
     with _small_batches(docs.sparkSession):
-        sets = written(texts.mapInArrow(_sets, "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
+        return written(texts.mapInArrow(_sets, "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
+
+
+def _verified(pairs: DataFrame, n: int, docs: DataFrame, nodes: DataFrame) -> tuple[DataFrame, int]:
+    """The ``n`` pairs (u, v) whose sets are alike, and how many they are."""
+    sets = _sets_of(pairs.select(F.col("u").alias("w")).union(pairs.select("v")), 2 * n, docs, nodes)
     a = sets.select(_again("node").alias("wu"), F.col("shingles").alias("a"))
     b = sets.select(F.col("node").alias("wv"), F.col("shingles").alias("b"))
     both = few(pairs, n).join(b, F.col("v") == F.col("wv")).join(a, F.col("u") == F.col("wu"))
@@ -212,66 +216,68 @@ def _apart(members: DataFrame, found: DataFrame | None) -> DataFrame:
     return members.join(several, F.col("key") == F.col("k")).drop("k")
 
 
-def _within(every: bool):
-    """Over rows sorted by (cell, side): pairs of nodes of different classes that sizes and bits allow; a forest of them, or every one.
+def _linked(root: np.ndarray, node: np.ndarray, size: np.ndarray, side: np.ndarray, prints: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Pairs of alike nodes that connect classes. Nodes of side 0 meet each other, or, if there are nodes of side 1, those."""
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    own = not len(right)
+    right = left if own else right
+    tree = root.copy()
+    for k, i in enumerate(left):
+        other = right[k + 1 :] if own else right
+        other = other[(tree[other] != tree[i]) & (LEAST[0] * np.maximum(size[other], size[i]) <= LEAST[1] * np.minimum(size[other], size[i]))]
+        for j in other[np.bitwise_count(prints[other] ^ prints[i]).sum(axis=1) <= MOST_BITS]:
+            if tree[j] != tree[i]:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if both * sum(LEAST) >= LEAST[0] * (size[i] + size[j]):
+                    tree[tree == tree[j]] = tree[i]
+                    yield int(min(node[i], node[j])), int(max(node[i], node[j]))
 
-    Nodes of side 0 meet each other, or, if the cell has nodes of side 1, those.
-    """
 
-    def pairs(root: np.ndarray, node: np.ndarray, size: np.ndarray, prints: np.ndarray, side: np.ndarray) -> Iterator[pa.RecordBatch]:
-        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        own = not len(right)
-        right = left if own else right
-        tree = root.copy()
-        for k, i in enumerate(left):
-            other = right[k + 1 :] if own else right
-            other = other[tree[other] != tree[i]]
-            other = other[(LEAST[0] * np.maximum(size[other], size[i]) <= LEAST[1] * np.minimum(size[other], size[i]))]
-            other = other[np.bitwise_count(prints[other] ^ prints[i]).sum(axis=1) <= MOST_BITS]
-            if not len(other):
-                continue
-            if not every:  # one pair joins each class to this one
-                _, at = np.unique(tree[other], return_index=True)
-                other = other[at]
-                tree[np.isin(tree, tree[other])] = tree[i]
-            low, high = np.minimum(node[other], node[i]), np.maximum(node[other], node[i])
-            yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["u", "v"])
+def _within():
+    """Over rows sorted by cell: the links of each cell, of ``BLOCK`` rows and a little more at most."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # of the cell that the next batch may go on with; a cell has 2 * BLOCK rows at most
+        held: list[tuple] = []  # of the cell that the next batch may go on with
         names = ["cell", "root", "node", "size", "side"]
         for batch in batches:
             if not len(batch):
                 continue
             cell, *rest = (batch.column(c).to_numpy(zero_copy_only=False) for c in names)
+            lists = batch.column("shingles")
+            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            sets = [np.sort(flat[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)]
             rest.append(_columns(batch, _PRINT))
             cut = np.r_[np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]), len(cell)]
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 if held and held[-1][0] != cell[a]:
-                    yield from closed(held)
+                    yield closed(held)
                     held = []
-                held.append((cell[a], *(x[a:b] for x in rest)))
+                held.append((cell[a], *(x[a:b] for x in rest), sets[a:b]))
         if held:
-            yield from closed(held)
+            yield closed(held)
 
-    def closed(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        root, node, size, side, prints = (np.concatenate(x) for x in [*zip(*held, strict=True)][1:])
-        yield from pairs(root, node, size, prints, side)
+    def closed(held: list[tuple]) -> pa.RecordBatch:
+        *columns, sets = [*zip(*held, strict=True)][1:]
+        found = [*_linked(*(np.concatenate(x) for x in columns), [x for part in sets for x in part])]
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["u", "v"])
 
     return run
 
 
-def _met(apart: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
-    """Likely pairs (u, v) of different classes within the buckets. A bucket's nodes are dealt into blocks of about half of ``BLOCK``."""
+def _met(apart: DataFrame, n: int, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (u, v) of different classes within the buckets. A bucket's nodes are dealt into blocks of about half of ``BLOCK``."""
     many = apart.groupBy("key").agg(F.ceil(F.count("*") / (BLOCK // 2)).cast("long").alias("blocks")).select(_again("key").alias("k"), "blocks")
-    rows = few(apart).join(nodes.select(_again("node").alias("w"), "size", *_PRINT), F.col("node") == F.col("w"))
-    rows = rows.join(few(written(many, "many")), F.col("key") == F.col("k"))
+    short = F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int"))
+    sets = _sets_of(apart.select(F.col("node").alias("w")), n, docs, nodes).select(_again("node").alias("of"), short.alias("shingles"))
+    own = nodes.select(_again("node").alias("w"), "size", *_PRINT)
+    rows = few(apart, n).join(own, F.col("node") == F.col("w")).join(few(written(many, "many")), F.col("key") == F.col("k"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")))
     # Each block meets itself and each other block of its bucket in a cell of its own.
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
     cell = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
     rows = rows.select(cell.alias("cell"), "root", "node", F.col("size").cast("long"), (F.col("block") > F.col("other")).cast("long").alias("side"), *_PRINT)
-    return rows.repartition("cell").sortWithinPartitions("cell", "side", "node").mapInArrow(_within(every), "u long, v long").distinct()
+    rows = rows.join(sets, F.col("node") == F.col("of")).drop("of")
+    return rows.repartition("cell").sortWithinPartitions("cell", "side", "node").mapInArrow(_within(), "u long, v long").distinct()
 
 
 def classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -286,18 +292,12 @@ def classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     alike, _ = _verified(tried, n, docs, nodes)
     found = components(alike, FEW)
     members = members.select("key", "node")
-    for every in (False, True):
-        apart, left = _counted(_apart(members, found).drop("low"), "apart")
-        if not left:
-            break
-        new, n = _counted(_met(apart, nodes, every).join(tried, ["u", "v"], "left_anti"), "pairs")
-        if not n:  # a forest may hold tried pairs alone while others are left
-            continue
+    apart, left = _counted(_apart(members, found).drop("low"), "apart")
+    if left:
+        new, n = _counted(_met(apart, left, docs, nodes), "pairs")
         more, n = _verified(new, n, docs, nodes)
-        tried = tried.union(new)
         if n:
-            alike = alike.union(more)
-            found = components(alike, FEW)
+            found = components(alike.union(more), FEW)
     return found
 
 

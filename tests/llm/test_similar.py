@@ -110,14 +110,23 @@ def test_bucket_whose_least_node_is_unlike_the_others(llm, monkeypatch):
     members = llm.createDataFrame([(1, r["node"], r["node"]) for r in rows], "key long, node long, root long")
     sets = {r["node"]: shingles(texts[r["row"]]) for r in rows}
 
-    def met(every):
-        return {(r.u, r.v) for r in similar._met(similar._apart(members, None), nodes, every).collect()}
 
-    forest, every = met(False), met(True)
-    monkeypatch.setattr(similar, "BLOCK", 8)
-    assert met(True) == every
+    def met():
+        apart = similar._apart(members, None)
+        return {(r.u, r.v) for r in similar._met(apart, len(rows), docs, nodes).collect()}
+
     alike = {(a, b) for a in sets for b in sets if a < b and 9 * len(sets[a] & sets[b]) >= 4 * (len(sets[a]) + len(sets[b]))}
-    assert alike <= every and forest <= every and len(sets) == len(forest) + 5
+
+    def parts(links):
+        of = {n: n for n in sets}
+        for u, v in links:
+            of = {n: of[u] if r == of[v] else r for n, r in of.items()}
+        return {frozenset(n for n in sets if of[n] == r) for r in of.values()}
+
+    whole = met()
+    assert whole <= alike and parts(whole) == parts(alike) and len(whole) == len(sets) - len(parts(alike))
+    monkeypatch.setattr(similar, "BLOCK", 8)
+    assert met() <= alike and parts(met()) == parts(alike)
 
 
 def test_stage_takes_maps_and_names_with_dots(llm):
