@@ -41,7 +41,7 @@ BLOCK = 1 << 22  # pairs that workers hold at once
 FAN = 4  # vectors that are summed at once
 HELD = 1 << 21  # pairs that a task of the first pass gathers before it sends them
 SEGMENT = 1 << 20  # characters of a text whose units are held at once
-CACHE = 1 << 24  # characters of the units that a worker remembers
+CACHE = 1 << 23  # characters of the units that a worker remembers
 B_BITS = 20  # a pair is the first id shifted by these, and the second one
 _CUT = re.compile(r"(?<=\S) ")
 _MIXED = re.compile(r"\s ")
