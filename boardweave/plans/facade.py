@@ -113,9 +113,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(parts)) if parts and not df.isStreaming else df
 
 
+def evenly(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores, by their size: a file of one row group is one task however
+    large, and all that follows up to the next exchange would stay in that task."""
+    if df.isStreaming or df.sparkSession.conf.get("boardweave.spread", None):
+        return df
+    return df.hint("rebalance")
+
+
 def bronze_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """The facade over given order and customer rows (``orders`` may stream)."""
-    orders = spread(orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
+    orders = evenly(spread(orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")))
     return orders.sparkSession.sql(FACADE_SQL.format(**SPARK_TOKENS), orders=orders, customer=customer)
 
 

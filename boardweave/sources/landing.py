@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,23 @@ _VALUE = _value_pattern()
 # What a match takes is consumed with all it holds, so the next one begins at the next field, or item, of the same level.
 _FIELD = rf"({_STRING})\s*+:\s*+({_VALUE})"
 _ITEM = rf"(?:^\[|,)\s*+({_VALUE})"
+PLAIN_BYTES = 1_000_000  # longer lines are not read by a scan, whose parser has limits of its own
+
+
+def _plain_pattern(fields: dict[str, str]) -> str:
+    """Regular expression of a line whose values a JSON scan gives as they are written: one flat object of
+    known names, with strings, short whole numbers, truth values and nulls, and lists of strings in array fields."""
+    w = r"[ \t\r]*+"
+    text = r'"[^"\\\x00-\x1f]*+(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1f]*+)*+"'
+    single = rf"(?:{text}|null|true|false|0|-?[1-9][0-9]{{0,17}}+)"
+    several = rf"(?:null|\[{w}(?:{text}{w}(?:,{w}{text}{w})*+)?+\])"
+
+    def field(kind_is_string: bool, value: str) -> list[str]:
+        names = [re.escape(n) for n, kind in fields.items()
+                 if (kind == "string") == kind_is_string and not re.search(r'["\\\x00-\x1f]', n) and len(n) < 1000]
+        return [rf'"(?:{"|".join(names)})"{w}:{w}{value}'] if names else []
+    one = rf"(?:{'|'.join(field(True, single) + field(False, several))})"
+    return rf"\A{w}\{{{w}{one}{w}(?:,{w}{one}{w})*+\}}{w}\z"
 
 
 # --- reading --------------------------------------------------------------------
@@ -95,6 +113,21 @@ def _misfits(fields: dict[str, str]) -> Column:
     return F.filter(places, unfit)
 
 
+def _scannable(fields: dict[str, str]) -> bool:
+    """Can one schema hold the fields? Names that differ in case only, it cannot tell apart."""
+    return bool(fields) and len({n.lower() for n in fields} | {"_corrupt_record"}) > len(fields)
+
+
+def _is_plain(fields: dict[str, str]) -> Column:
+    """Does a JSON scan give this line's values as they are written, with nothing left over? Most lines are so,
+    and a scan costs a fraction of what the text of any value costs."""
+    if not _scannable(fields):
+        return F.lit(False)
+    names = F.json_object_keys("value")
+    return F.coalesce((F.octet_length("value") < PLAIN_BYTES) & F.col("value").rlike(_plain_pattern(fields))
+                      & (F.size(F.array_distinct(names)) == F.size(names)), F.lit(False))
+
+
 def parse_lines(lines: DataFrame, fields: dict[str, str], stop_on_unseen: bool = False) -> DataFrame:
     """JSON text in ``value`` -> one string (or string array) column per field.
 
@@ -104,13 +137,16 @@ def parse_lines(lines: DataFrame, fields: dict[str, str], stop_on_unseen: bool =
     no JSON object stays there as a whole, and so does one that repeats a name,
     whose columns have the last value, or that nests deeper than ``DEPTH``, whose
     columns are empty. With ``stop_on_unseen`` an unknown field fails the job instead.
+    Lines that a plain scan reads alike are read by one, see ``_is_plain``.
     """
     lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     others = [c for c in lines.columns if c != "value"]
     # A variant tells what is JSON, and how many fields an object has.
     parsed = (
         lines.filter(F.trim("value") != "")
-        .select("*", F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>").alias("_m"))
+        .select("*", _is_plain(fields).alias("_plain"))
+        .select("*", (F.when(F.col("_plain"), F.from_json("value", _ddl(fields))) if _scannable(fields) else F.lit(None)).alias("_scan"),
+                F.when(~F.col("_plain"), F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>")).alias("_m"))
         .select("*", *[F.when(F.col("_m").isNotNull(), F.reverse(F.regexp_extract_all("value", F.lit(_FIELD), F.lit(part)))).alias(name)
                        for part, name in ((1, "_quoted"), (2, "_written"))])
         .select("*", F.transform("_quoted", _unquoted).alias("_names"))
@@ -125,8 +161,11 @@ def parse_lines(lines: DataFrame, fields: dict[str, str], stop_on_unseen: bool =
     rest = F.sort_array(F.transform("_rest", lambda i: F.struct(
         F.get("_names", i.cast("int")).alias("name"), F.get("_quoted", i.cast("int")).alias("key"), F.get("_written", i.cast("int")).alias("value"))))
     rest = F.array_join(F.transform(rest, lambda e: F.concat(e["key"], F.lit(":"), e["value"])), ",")
-    rescued = F.when(whole, F.col("value")).when(F.size("_rest") > 0, F.concat(F.lit("{"), rest, F.lit("}")))
-    return parsed.select(*[_column(n, k).alias(n) for n, k in fields.items()], rescued.alias("_rescued_data"), *others)
+    rescued = F.when(F.col("_plain"), None).when(whole, F.col("value")).when(F.size("_rest") > 0, F.concat(F.lit("{"), rest, F.lit("}")))
+    columns = {n: _column(n, k) for n, k in fields.items()}
+    if _scannable(fields):
+        columns = {n: F.when(F.col("_plain"), F.col("_scan").getField(n)).otherwise(c) for n, c in columns.items()}
+    return parsed.select(*[c.alias(n) for n, c in columns.items()], rescued.alias("_rescued_data"), *others)
 
 
 def read_landing(spark: SparkSession, path: str, fields: dict[str, str] | None = None,

@@ -272,3 +272,22 @@ def test_history_batch_that_comes_twice(spark, bronze_of, tmp_path):
     SH.history_log(SS.table_stream(spark, src), log, cp)
     want = version_history(typed)
     assert SH.read_history(spark, log).select(*want.columns).exceptAll(want).count() == 0 and SH.read_history(spark, log).count() == want.count()
+
+
+def test_plain_lines_are_scanned_and_all_others_keep_their_text(spark):
+    """A scan reads only what it gives unchanged; every line has the columns and the rest that its text gives."""
+    fields = {"a": "string", "b": "string", "t": "array<string>"}
+    plain = ['{"a":"x","b":null,"t":["p","q"]}', ' { "a" : "q\\"\\u00e9\\n" , "b" : -12 } ', '{"t":[],"a":true}', '{"t":null}\r']
+    others = ['{"a":1.50}', '{"a":1e3,"t":[1,"x"]}', '{"a":[1, 2]}', '{"a":"x","a":"y"}', '{"t":"x"}', '{"b":-0}', '{"c":"new"}',
+              '{"a":"x"} {}', '{"a":"x",}', "no json", "{}", '{"a":{"z": 1}}', '{"a":"x" "b":"y"}', '{"A":"x"}', '{"a":01}', '{"a":"\\q"}']
+    lines = spark.createDataFrame([(x,) for x in plain + others], "value string")
+    told = {r["value"]: r["p"] for r in lines.select("value", G._is_plain(fields).alias("p")).collect()}
+    assert [x for x in plain if not told[x]] == [] and [x for x in others if told[x]] == []
+    got = {r["v"]: tuple(r)[:-1] for r in G.parse_lines(lines.withColumn("v", F.col("value")), fields).collect()}
+    assert got[plain[0]] == ("x", None, ["p", "q"], None) and got[plain[1]] == ('q"\u00e9\n', "-12", None, None)
+    assert got[plain[2]] == ("true", None, [], None) and got[plain[3]] == (None, None, None, None)
+    assert got['{"a":1.50}'] == ("1.50", None, None, None) and got['{"b":-0}'][1] == "-0"
+    assert got['{"a":"x","a":"y"}'] == ("y", None, None, '{"a":"x","a":"y"}') and got['{"c":"new"}'][3] == '{"c":"new"}'
+    assert G.parse_lines(lines, fields, True).columns == [*fields, "_rescued_data"]
+    apart = G.parse_lines(lines, {"a": "string", "A": "string"})  # one schema cannot hold these
+    assert sorted(filter(None, (r[1] for r in apart.collect()))) == ["x"]
