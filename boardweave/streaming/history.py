@@ -37,7 +37,8 @@ def history_log(stream: DataFrame, log_dir: str, checkpoint: str, keys: tuple[st
         dated = batch.groupBy(*keys, sequence[0]).agg(
             F.max_by(F.struct(*batch.columns), version_order(batch, sequence)).alias("_row")).select("_row.*")
         came = f"{log_dir}/versions/batch={batch_id}"
-        dated.withColumn("bucket", _bucket(keys)).write.mode("overwrite").partitionBy("bucket").parquet(came)
+        # a bucket's rows meet before they are written: else every task leaves a file in every folder
+        dated.withColumn("bucket", _bucket(keys)).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(came)
         own = spark.read.schema(f"{_ddl(batch)}, bucket int").parquet(came)
         buckets = [r["bucket"] for r in own.select("bucket").distinct().collect()]  # BUCKETS at most
         log = spark.read.schema(f"{_ddl(batch)}, batch int, bucket int").parquet(f"{log_dir}/versions")

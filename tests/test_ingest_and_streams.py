@@ -307,3 +307,11 @@ def test_the_one_file_of_a_batch_is_shared_and_orders_are_dealt_out(spark, tmp_p
     orders = spark.range(400_000).select(*[F.xxhash64("id", F.lit(k)).alias(name) for k, name in enumerate(("o_orderkey", "o_custkey", "o_totalprice"))])
     dealt = facade.evenly(orders.coalesce(1)).groupBy(F.spark_partition_id()).agg(*[F.max(c) for c in orders.columns])
     assert dealt.count() > 1 and len(dealt.collect()) > 1
+
+
+def test_versions_of_a_bucket_lie_in_one_file(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("id % 500 AS k", "timestamp'2026-01-01' + make_interval(0, 0, 0, 0, 0, 0, id) AS ts", "'x' AS v")
+    rows.repartition(8).write.parquet(f"{tmp_path}/in")
+    SH.history_log(SS.table_stream(spark, f"{tmp_path}/in"), f"{tmp_path}/log", f"{tmp_path}/c", ("k",), ("ts",), ())
+    folders = list((tmp_path / "log" / "versions" / "batch=0").glob("bucket=*"))
+    assert len(folders) > 32 and all(len(list(f.glob("*.parquet"))) == 1 for f in folders)
