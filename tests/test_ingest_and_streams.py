@@ -306,7 +306,7 @@ def test_the_one_file_of_a_batch_is_shared_and_orders_are_dealt_out(spark, tmp_p
     assert written and written[0] > 1
     orders = spark.range(400_000).select(*[F.xxhash64("id", F.lit(k)).alias(name) for k, name in enumerate(("o_orderkey", "o_custkey", "o_totalprice"))])
     dealt = facade.evenly(orders.coalesce(1)).groupBy(F.spark_partition_id()).agg(*[F.max(c) for c in orders.columns])
-    assert dealt.count() > 1 and len(dealt.collect()) > 1
+    assert len(dealt.collect()) > 1
 
 
 def test_versions_of_a_bucket_lie_in_one_file(spark, tmp_path):
