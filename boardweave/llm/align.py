@@ -6,16 +6,17 @@ distinct unit is encoded and aligned once by a worker; a text is its units one
 after another. That holds for byte-level pieces cut by the usual pattern and for pieces that
 have their space mark in front; tests compare it with whole texts.
 
-The first pass aligns all documents and gives the pairs of each task with the
+Each document is aligned once. Its sums and digest are stored with its links: the
+distinct pairs and how often it links each, packed. From these come the pairs of each task with the
 number of its documents that link them. The distinct pairs get a minimal perfect
 hash function, in shards of bounded size: levels of bits, in which a pair owns
 the bit that no other pair of its level hit, and is as many as owned bits come before it. Counts are dense vectors in this order, one for each
 shard and some tasks, summed like a tree: ``FAN`` vectors become one until one
 is left. The key of each place is kept and compared when it is looked up.
 
-The second pass aligns the documents again and looks the pairs up. Functions and
-vectors of ``BLOCK`` pairs at most go to the workers at once; a corpus with
-more distinct pairs is passed over once for each block.
+At last the pairs of the stored links are looked up, without the texts. Functions and
+vectors of ``BLOCK`` pairs at most go to the workers at once; the stored links of a corpus with
+more distinct pairs are passed over once for each block.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-import uuid
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 import tiktoken
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
@@ -39,7 +40,8 @@ from boardweave.llm.batches import mixed, slices, written
 SHARD = 1 << 17  # pairs of a hash function, about
 BLOCK = 1 << 22  # pairs that workers hold at once
 FAN = 4  # vectors that are summed at once
-HELD = 1 << 21  # pairs that a task of the first pass gathers before it sends them
+HELD = 1 << 21  # pairs that a task gathers before it sends them
+READ = 1 << 18  # pairs of stored links that are unpacked at once, and one document
 SEGMENT = 1 << 20  # characters of a text whose units are held at once
 CACHE = 1 << 23  # characters of the units that a worker remembers
 B_BITS = 20  # a pair is the first id shifted by these, and the second one
@@ -77,19 +79,55 @@ class _Grown:
         self.size += len(more)
 
 
+class Aligned(NamedTuple):
+    """The sums of a text's units, the digest of its groups, its distinct pairs in order and how often it links each."""
+
+    sums: dict[str, int]
+    sha256: str
+    pairs: np.ndarray
+    times: np.ndarray
+
+
+def _counted(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones in order, and how often each is there."""
+    pairs = np.sort(pairs)
+    cut = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]][: len(pairs)])
+    return pairs[cut], np.diff(cut, append=len(pairs))
+
+
+def _summed(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of all parts in order, and the sum of each one's numbers."""
+    pairs, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(pairs, kind="stable")
+    pairs = pairs[order]
+    cut = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]][: len(pairs)])
+    return pairs[cut], np.add.reduceat(counts[order], cut) if len(cut) else counts
+
+
+def packed(pairs: np.ndarray, times: np.ndarray) -> bytes:
+    """Links as bytes: the steps from pair to pair and the numbers, byte by byte of equal weight, compressed."""
+    steps = np.diff(pairs, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8)
+    return zstandard.compress(steps.T.tobytes() + times.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked(links: bytes) -> tuple[np.ndarray, np.ndarray]:
+    held = np.frombuffer(zstandard.decompress(links), np.uint8).reshape(12, -1)
+    return np.cumsum(np.ascontiguousarray(held[:8].T).view("<i8").ravel()), np.ascontiguousarray(held[8:].T).view("<u4").ravel().astype(np.int64)
+
+
 class Aligner:
     """Encodes and aligns units, and remembers them.
 
     For each unit: 0 or 1 whether the bytes of both rows are those of the unit,
-    the numbers of tokens, groups and links, and the sums that ``lookup`` gives for its links.
+    the numbers of tokens, groups and links, and the pairs that it links.
     Most new units are encoded together, as one text: those of Latin letters and
     common signs. For these a faster library with the first vocabulary is used, if there is one.
     """
 
-    NAMES = ("ok", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+    NAMES = ("ok", "n_a", "n_b", "n_groups", "n_links")
 
     def __init__(self, a_path: str, b_path: str, a_fast: tuple[str, str] | None = None) -> None:
-        self.a, self.b, self.lookup, self.pass_ = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path), None, ""
+        self.a, self.b = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.a.encode_special_tokens = True
         self.a.no_truncation()
         self.a.no_padding()
@@ -116,30 +154,19 @@ class Aligner:
         self.values, self.keys, self.begin = [_Grown() for _ in self.NAMES], _Grown(), _Grown()
         self.begin.add(np.zeros(1, np.int64))
 
-    def look_up(self, pass_: str, lookup: Lookup | None) -> None:
-        """From now on sums are by this lookup, those of the units that are known too."""
-        if pass_ != self.pass_:
-            self.pass_, self.lookup = pass_, lookup
-            begin = self.begin.data[: self.begin.size]
-            for grown, column in zip(self.values[-2:], self._found(self.keys.data[: self.keys.size], begin[1:]), strict=True):
-                grown.data[: grown.size] = column
-
-    def _found(self, keys: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-        """For units whose links end at these places: links with the highest count of their first id, and the sum of counts."""
-        found = self.lookup.of(keys) if self.lookup else (np.zeros(len(keys), np.int64),) * 2
-        return [np.diff(np.r_[0, np.cumsum(x)][np.r_[0, ends]]) for x in found]
-
     def numbers(self, units: list[str]) -> np.ndarray:
         """The number of each unit, good until the next call."""
         try:
-            return np.array(list(map(self.slot.__getitem__, units)), np.int64)
+            return np.fromiter(map(self.slot.__getitem__, units), np.int64, len(units))
         except KeyError:
             self._meet(dict.fromkeys(units))
-            return np.array(list(map(self.slot.__getitem__, units)), np.int64)
+            return np.fromiter(map(self.slot.__getitem__, units), np.int64, len(units))
 
-    def ready(self, texts: list[str | None]) -> None:
-        """Learns what is new in all these texts at once."""
-        self._meet({u for t in texts if t and len(t) <= SEGMENT for u in units_of(t)})
+    def ready(self, texts: list[str]) -> list[list[str] | None]:
+        """Learns what is new in all these texts at once; the units of each text that is no longer than a segment."""
+        found = [units_of(t) if len(t) <= SEGMENT else None for t in texts]
+        self._meet({u for units in found if units for u in units})
+        return found
 
     def _meet(self, units: Iterable[str]) -> None:
         if self.held > CACHE:
@@ -185,37 +212,36 @@ class Aligner:
             groups = [f"{','.join(left[i:j])}|{','.join(right[k:m])}" for i, j, k, m in zip(a_upto, a_upto[1:], b_upto, b_upto[1:], strict=False)]
             upto = [0, *found[2].tolist()]
             texts = [";".join(groups[i:j]) for i, j in zip(upto, upto[1:], strict=False)]
-        for grown, column in zip(self.values, [*values, *self._found(keys, cut)], strict=True):
+        for grown, column in zip(self.values, values, strict=True):
             grown.add(column)
         self.text += texts
         self.begin.add(self.keys.size + cut)
         self.keys.add(keys)
 
-    def sums(self, text: str) -> tuple[dict[str, int], str] | None:
-        """The sums of a text's units and the digest of its groups; None if the bytes of a row are not those of the text."""
-        total, sha, later = np.zeros(len(self.NAMES), np.int64), hashlib.sha256(), False
-        for segment in segments_of(text):
-            at = self.numbers(units_of(segment))
+    def aligned(self, text: str, units: list[str] | None = None) -> Aligned | None:
+        """A text, whose units may be given if it is no longer than a segment; None if the bytes of a row are not those of the text."""
+        total, sha, links = np.zeros(len(self.NAMES), np.int64), hashlib.sha256(), []
+        for own in [units] if units is not None else map(units_of, segments_of(text)):
+            at = self.numbers(own)
             found = [grown.data[at] for grown in self.values]
             if not found[0].all():
                 return None
             total += [x.sum() for x in found]
-            sha.update((";" if later else "").encode() + ";".join(map(self.text.__getitem__, at.tolist())).encode())
-            later = True
-        return dict(zip(self.NAMES, total.tolist(), strict=True)), sha.hexdigest()
+            sha.update((";" if links else "").encode() + ";".join(map(self.text.__getitem__, at.tolist())).encode())
+            size = found[-1]
+            within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size - self.begin.data[at], size)
+            links.append(_counted(self.keys.data[within]))
+        return Aligned(dict(zip(self.NAMES, total.tolist(), strict=True)), sha.hexdigest(), *(links[0] if len(links) == 1 else _summed(links)))
+
+    def sums(self, text: str) -> tuple[dict[str, int], str] | None:
+        """The sums of a text's units and the digest of its groups; None if the bytes of a row are not those of the text."""
+        found = self.aligned(text)
+        return found and found[:2]
 
     def pairs(self, text: str) -> np.ndarray:
         """The distinct pairs that a text links."""
-        found = [np.zeros(0, np.int64)]
-        for segment in segments_of(text):
-            at = np.unique(self.numbers(units_of(segment)))
-            if not self.values[0].data[at].all():
-                return found[0]
-            begin = self.begin.data[at]
-            size = self.begin.data[at + 1] - begin
-            within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-            found.append(np.unique(self.keys.data[np.repeat(begin, size) + within]))
-        return found[1] if len(found) == 2 else np.unique(np.concatenate(found))
+        found = self.aligned(text)
+        return found.pairs if found else np.zeros(0, np.int64)
 
 
 def _byte_signs() -> dict[str, int]:
@@ -294,53 +320,64 @@ class Lookup(NamedTuple):
 
 
 _kept: dict[tuple, Aligner] = {}
+_ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary"
 
 
-def _aligner(paths: tuple, pass_: str = "", lookup: Lookup | None = None) -> Aligner:
-    """A worker's own: its tasks, and both passes, share what it has learned."""
+def _aligner(paths: tuple) -> Aligner:
+    """A worker's own: its tasks share what it has learned."""
     if paths not in _kept:
         _kept.clear()
         _kept[paths] = Aligner(*paths)
-    _kept[paths].look_up(pass_, lookup)
     return _kept[paths]
 
 
-def _gathered(paths: tuple):
+def _aligned(paths: tuple):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, held, size = _aligner(paths), [], 0
-
-        def summed(parts: list) -> tuple[np.ndarray, np.ndarray]:
-            keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.argsort(keys, kind="stable")
-            keys = keys[order]
-            cut = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            return keys[cut], np.add.reduceat(counts[order], cut)
-
-        def out(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for i in range(0, len(keys), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in (keys, counts)], ["pair", "n"])
-
+        aligner, none = _aligner(paths), Aligned(dict.fromkeys(Aligner.NAMES, 0), "", *[np.zeros(0, np.int64)] * 2)
         for piece in slices(batches):
-            texts = [t for t in piece.column("text").to_pylist() if t]
-            aligner.ready(texts)
-            found = [aligner.pairs(t) for t in texts]
-            if not any(map(len, found)):
-                continue
-            own, n = np.unique(np.concatenate(found), return_counts=True)
-            held.append((own, n.astype(np.int64)))
-            size += len(own)
-            if size > HELD:
-                held = [summed(held)]
-                size = len(held[0][0])
-                if size > HELD // 2:
-                    yield from out(*held[0])
-                    held, size = [], 0
-        if held:
-            yield from out(*summed(held))
+            texts = piece.column("text").to_pylist()
+            found = [(aligner.aligned(t, units) if t else None) or none for t, units in zip(texts, aligner.ready(texts), strict=True)]
+            numbers = [pa.array([x.sums[c] for x in found], pa.int64()) for c in Aligner.NAMES[1:]]
+            digests = pa.array([x.sha256 for x in found], pa.string())
+            links = pa.array([packed(x.pairs, x.times) for x in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *numbers, digests, links], [c.split()[0] for c in _ALIGNED.split(", ")])
 
     return run
 
 
+def _linked(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Pieces of the batches: rows, the pairs of all their links, how often each is linked, and how many pairs each row has."""
+    for batch in batches:
+        begin, held, size = 0, [], 0
+        for k, links in enumerate(batch.column("links")):
+            held.append(unpacked(links.as_py()))
+            size += len(held[-1][0])
+            if size >= READ or k + 1 == len(batch):
+                pairs, times = (np.concatenate(x) for x in zip(*held, strict=True))
+                yield batch.slice(begin, k + 1 - begin), pairs, times, np.array([len(x) for x, _ in held], np.int64)
+                begin, held, size = k + 1, [], 0
+
+
+def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+
+    def out(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(keys), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in (keys, counts)], ["pair", "n"])
+
+    for _, pairs, _, _ in _linked(batches):
+        held.append(_counted(pairs))
+        size += len(held[-1][0])
+        if size > HELD:
+            held = [_summed(held)]
+            size = len(held[0][0])
+            if size > HELD // 2:
+                yield from out(*held[0])
+                held, size = [], 0
+    if held:
+        yield from out(*_summed(held))
+
+
 def _built(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over pairs sorted by shard: (shard, words, ends, pairs in the order of their places)."""
     shard, held = None, []
@@ -436,39 +473,27 @@ def _function(row) -> PerfectHash:
     return PerfectHash(np.frombuffer(row["words"], np.uint64), np.frombuffer(row["ends"], np.int64))
 
 
-_RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
+_RESULT = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
-def _reported(paths: tuple, lookup: Lookup | None, last: bool):
-    """Adds what this block's pairs give; the last block's rows have all columns but the text."""
-    pass_ = uuid.uuid4().hex
+def _reported(lookup: Lookup, names: list[str]):
+    """Adds what this block's pairs give; rows of these columns."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(paths, pass_, lookup)
-        for piece in slices(batches):
-            columns: list[list] = [[] for _ in range(7)]
-            before = [piece.column(c).to_pylist() for c in ("n_best", "count_sum")]
-            texts = piece.column("text").to_pylist()
-            aligner.ready(texts)
-            for k, text in enumerate(texts):
-                found = aligner.sums(text) if text else None
-                sums, sha = found or (dict.fromkeys(Aligner.NAMES, 0), "")
-                row = [*(sums[c] for c in Aligner.NAMES[1:5]), sums["n_best"] + before[0][k], sums["count_sum"] + before[1][k], sha]
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
-            made = [pa.array(c, pa.int64()) for c in columns[:6]] + [pa.array(columns[6], pa.string())]
-            if last:
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *made], [c.split()[0] for c in _RESULT.split(", ")])
-            else:
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("text").cast(pa.string()), made[4], made[5]], ["doc_id", "text", "n_best", "count_sum"])
+        for piece, pairs, times, sizes in _linked(batches):
+            ends = np.cumsum(sizes)
+            columns = dict(zip(piece.schema.names, piece.columns, strict=True))
+            for name, found in zip(("n_best", "count_sum"), lookup.of(pairs), strict=True):
+                sums = np.diff(np.r_[0, np.cumsum(found * times)][np.r_[0, ends]])
+                columns[name] = pa.array(columns[name].to_numpy(zero_copy_only=False) + sums)
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
 
     return run
 
 
-def pair_counts(docs: DataFrame, paths: tuple) -> tuple[list[tuple[DataFrame, DataFrame]], int]:
+def pair_counts(aligned: DataFrame) -> tuple[list[tuple[DataFrame, DataFrame]], int]:
     """For each block of shards its hash functions and its count vectors, as written tables, and the number of shards."""
-    spark = docs.sparkSession
-    found = written(docs.select("text").mapInArrow(_gathered(paths), "pair long, n long"), "pairs")
+    found = written(aligned.select("links").mapInArrow(_gathered, "pair long, n long"), "pairs")
     each = written(found.select("pair").distinct(), "distinct")
     many, rows = each.count(), found.count()
     shards = -(-many // SHARD)
@@ -511,15 +536,16 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, a_fast: tuple[str, str
     """
     paths = (a_path, b_path, a_fast)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    blocks, shards = pair_counts(docs, paths)
+    aligned = written(docs.mapInArrow(_aligned(paths), _ALIGNED), "aligned")
+    blocks, shards = pair_counts(aligned)
     size = Tokenizer.from_file(a_path).get_vocab_size()
     best = np.zeros(size + 1, np.int64)
     for functions, vectors in blocks:
         for first, n in _highest(functions, vectors).items():
             best[first] = max(best[first], n)
-    rows = docs.withColumns({"n_best": F.lit(0).cast("long"), "count_sum": F.lit(0).cast("long")})
-    for functions, vectors in blocks[:-1]:
-        run = _reported(paths, _lookup(functions, vectors, shards, best), False)
-        rows = written(rows.mapInArrow(run, "doc_id long, text string, n_best long, count_sum long"), "block")
-    lookup = _lookup(*blocks[-1], shards, best) if blocks else None
-    return rows.mapInArrow(_reported(paths, lookup, True), _RESULT)
+    rows = aligned.withColumns({"n_best": F.lit(0).cast("long"), "count_sum": F.lit(0).cast("long")})
+    for number, (functions, vectors) in enumerate(blocks, 1):
+        names = _RESULT if number == len(blocks) else rows.columns
+        rows = rows.mapInArrow(_reported(_lookup(functions, vectors, shards, best), names), rows.select(names).schema)
+        rows = written(rows, "block") if number < len(blocks) else rows
+    return rows.select(_RESULT)

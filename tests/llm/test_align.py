@@ -5,6 +5,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from odd_rows import ODD
 
@@ -100,3 +101,40 @@ def test_sums_of_many_parts(llm, plain, monkeypatch):
     monkeypatch.setattr(align, "FAN", 2)
     given = llm.createDataFrame(docs, "doc_id long, text string").repartition(40)
     assert sorted(map(tuple, align.alignments(given, A, B, FAST).collect())) == sorted(plain.report(docs))
+
+
+def test_each_text_is_aligned_once(llm, plain, tmp_path):
+    """The texts are read by the first pass alone; the report comes from the stored links."""
+    docs = [(1, "some words here and some words there"), (2, "some other words"), (2, "some other words"), (None, "words"), (4, None), (5, "a \u2581 b")]
+    llm.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    found = align.alignments(llm.read.parquet(str(tmp_path / "docs")), A, B, FAST)
+    assert not [f for f in found.inputFiles() if str(tmp_path) in f]
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, plain.report(docs)))
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 5000])
+def test_links_packed_and_unpacked(n):
+    chance = random.Random(n)
+    pairs = np.array(sorted(chance.sample(range(1 << 40), n)), np.int64)
+    times = np.array([chance.randint(1, 1 << 31) for _ in range(n)], np.int64)
+    assert [x.tolist() for x in align.unpacked(align.packed(pairs, times))] == [pairs.tolist(), times.tolist()]
+
+
+@pytest.mark.parametrize("segment", [1 << 20, 5])
+def test_links_of_a_text_have_their_number(plain, monkeypatch, segment):
+    monkeypatch.setattr(align, "SEGMENT", segment)
+    aligner, text = align.Aligner(A, B, FAST), "the cat and the dog and the \u00e9t\u00e9 " * 9
+    found, (_, _, _, links) = aligner.aligned(text), plain.of(text)
+    want = {}
+    for a, b in links:
+        want[a << align.B_BITS | b] = want.get(a << align.B_BITS | b, 0) + 1
+    assert dict(zip(found.pairs.tolist(), found.times.tolist(), strict=True)) == want
+
+
+def test_links_are_unpacked_a_few_rows_at_a_time(monkeypatch):
+    monkeypatch.setattr(align, "READ", 4)
+    rows = [np.arange(k, dtype=np.int64) for k in (3, 0, 5, 1, 0)]
+    batch = pa.RecordBatch.from_arrays([pa.array([align.packed(x, x + 1) for x in rows], pa.binary())], ["links"])
+    pieces = list(align._linked([batch]))
+    assert [len(p) for p, *_ in pieces] == [3, 2] and [s.tolist() for *_, s in pieces] == [[3, 0, 5], [1, 0]]
+    assert [p.tolist() for _, p, _, _ in pieces] == [[0, 1, 2, 0, 1, 2, 3, 4], [0]]
