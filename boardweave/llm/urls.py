@@ -104,7 +104,7 @@ def ratios(windows: DataFrame, order: int = ORDER) -> DataFrame:
             for kind in ("allow", "block"):
                 count = sum((F.col(f"{kind}{h}") for h in halves), F.lit(0))
                 after = sum((F.col(f"all_{kind}{h}") for h in halves), F.lit(0))
-                before = F.col(f"{kind}_{model}") if known is not None else 1 / F.col("letters")
+                before = F.col(f"{kind}_{model}") if known is not None else F.try_divide(F.lit(1), F.col("letters"))  # no letters, no rows
                 shares.append(((count + STRENGTH * before) / (after + STRENGTH)).alias(f"{kind}_{model}"))
         known = rows.select(F.col("tail").alias("shorter"), *shares)
     return known.select(F.col("shorter").alias("gram"), *[F.log(F.col(f"allow_{m}") / F.col(f"block_{m}")).alias(m) for m in _MODELS])
